@@ -119,13 +119,14 @@ def strict_u64(doc: Column, path: str) -> Column:
     Integers beyond 64 signed bits arrive as decimals of scale 0. Smaller
     decimals of scale 0 were written with a fraction (``1.0``) and do not count.
     """
-    number = F.try_variant_get(doc, path, U64)
     kind = type_name(field(doc, path))
-    return F.when((kind == "BIGINT") & (number >= 0), number).when(
+    small = F.try_variant_get(doc, path, "bigint")
+    large = F.try_variant_get(doc, path, U64)
+    return F.when(kind == "BIGINT", F.when(small >= 0, small.cast(U64))).when(
         kind.isin("DECIMAL(19,0)", "DECIMAL(20,0)")
-        & (number > F.lit(I64_MAX).cast(U64))
-        & (number <= F.lit(U64_MAX).cast(U64)),
-        number,
+        & (large > F.lit(I64_MAX).cast(U64))
+        & (large <= F.lit(U64_MAX).cast(U64)),
+        large,
     )
 
 

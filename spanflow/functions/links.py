@@ -42,7 +42,7 @@ def sort_links(links: Column) -> Column:
                 i.alias("i"),
             ),
         )
-        return F.array_sort(
+        return F.sort_array(
             F.filter(tagged, lambda e: e["t"].isNotNull() & e["s"].isNotNull())
         )
 
@@ -65,7 +65,7 @@ def normalize_links(links: Column) -> Column:
                 i.alias("i"),
             )
 
-        return F.array_sort(
+        return F.sort_array(
             F.filter(F.transform(array, tag), lambda e: e["k"].isNotNull())
         )
 
@@ -76,7 +76,7 @@ def normalize_links(links: Column) -> Column:
         )
 
     def ordered(entries: Column) -> Column:
-        return F.array_sort(
+        return F.sort_array(
             F.transform(entries, lambda e: F.struct(e["t"], e["s"], e["i"]))
         )
 
