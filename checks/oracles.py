@@ -7,6 +7,8 @@ shadowed key the data contains is removed from the text beforehand.
 
 from __future__ import annotations
 
+from checks.queries import HEX_SPELLINGS
+from spanflow.plans.metrics import ROLES
 from spanflow.sources.derived import SHADOWED_NAME, duckdb_events_sql
 
 EVENT = "source_event_id, arrival_seq"
@@ -244,6 +246,27 @@ def sql(*needs: str, select: str) -> str:
     return f"with {steps} {select}"
 
 
+STEPS["sent"] = (
+    "select batch_id, (rn - 1) // 500 as chunk_index, (rn - 1) % 500 as position,"
+    " source_event_id, trace_id, message from"
+    " (select *, row_number() over (partition by batch_id order by arrival_s, arrival_seq) as rn from rec)"
+)
+STEPS["answer"] = (
+    "select *, case when c = 0 and attempt = 1 or c in (1, 3) then 'ProvisionedThroughputExceededException'"
+    " when c = 2 then 'AccessDeniedException' end as error_code from"
+    " (select *, (cast(split_part(source_event_id, '-', 2) as bigint)"
+    " + cast(split_part(source_event_id, '-', 3) as bigint)) % 20 as c from sent),"
+    " (select unnest([1, 2, 3]) as attempt)"
+)
+STEPS["led"] = (
+    "select batch_id, chunk_index, position, source_event_id, cast(attempt as bigint) as attempt, error_code,"
+    " 'failed: ' || error_code as error_message,"
+    " case when error_code is null then 'published'"
+    " when error_code like 'Prov%' and c <> 3 and attempt < 3 then 'retried' else 'dead' end as outcome"
+    " from answer where attempt = 1 or c = 0 and attempt = 2 or c = 1"
+)
+ROW = "batch_id, chunk_index, position"
+
 LINK_TEXT = "string_agg(t || ':' || s || ':' || json_extract_string(link, '$.flags'), ',' order by t, s, pos)"
 
 ORACLES: dict[str, str] = {
@@ -414,4 +437,163 @@ ORACLES: dict[str, str] = {
         "emit",
         select=f"select window_s, {EVENT}, {ERROR} as convert_error from emit where ({ERROR}) is not null",
     ),
+    "otlp_payloads": sql(
+        "emit",
+        select=(
+            "select window_s, source_log_group as source, count(*) as spans,"
+            f" 'application/json' as content_type from emit where ({ERROR}) is null group by 1, 2"
+        ),
+    ),
+    "otlp_payload_fields": sql(
+        "conv",
+        select=(
+            f"select {EVENT}, source_log_group as source, 'application/json' as content_type, trace_id,"
+            f" coalesce(nullif({_str('$.name')}, ''), nullif({_str('$._aws.xray.name')}, ''), 'UnnamedSpan') as name,"
+            f" cast({_u64('$.endTimeUnixNano')} as varchar) as end_time,"
+            f" coalesce({_str('$.scope.version')}, '') as scope_version,"
+            f" cast({_keys('$.resource.attributes')} + case when {_type(SERVICE)} is null and ({_str(LOCAL)})"
+            " is not null then 1 else 0 end as bigint) as resource_attributes,"
+            f" cast({_keys('$.attributes')} as bigint) as attributes,"
+            f" cast({_items('$.events')} - case when q = 31 then 1 else 0 end as bigint) as events,"
+            f" cast({_items('$.links')} as bigint) as links from conv"
+        ),
+    ),
+    "hex_cleaning": (
+        "select event_id, raw, case when regexp_full_match(digits, '([0-9a-fA-F]{2})*') then lower(digits) end as clean"
+        " from (select *, regexp_replace(regexp_replace(trim(raw), '^0[xX]', ''), '[:\\-_ \\t\\n\\f\\r]', '', 'g') as digits"
+        f" from (select event_id, {HEX_SPELLINGS} as raw from events))"
+    ),
+    "log_scan": sql(
+        "ev",
+        select=(
+            "select batch_id, row_number() over (partition by batch_id order by arrival_s, arrival_seq) - 1 as pos,"
+            " source_event_id, arrival_s as event_timestamp, message from ev"
+        ),
+    ),
+    "partition_summary": sql(
+        "parsed",
+        select=(
+            "select batch_id, count(*) as input_records, count(*) filter (ok) as published_records,"
+            " count(*) filter (not ok) as malformed_records,"
+            " cast(ceil(count(*) filter (ok) / 500) as bigint) as batches from"
+            f" (select batch_id, doc is not null and ({_str('$.traceId')}) is not null as ok from parsed) group by batch_id"
+        ),
+    ),
+    "chunk_500": sql(
+        "sent", select=f"select {ROW}, source_event_id, trace_id from sent"
+    ),
+    "chunk_10": (
+        "select user_id, event_id, (rn - 1) // 10 as chunk_index, (rn - 1) % 10 as position from"
+        " (select user_id, event_id, row_number() over (partition by user_id order by event_id) as rn from events)"
+    ),
+    "wrapped_records": sql(
+        "rec",
+        select=(
+            f"select {EVENT}, trace_id as key, '{{\"source_log_group\":' || to_json(source_log_group)"
+            " || ',\"source_event_id\":' || to_json(source_event_id) || ',\"trace_id\":' || to_json(trace_id)"
+            " || ',\"record\":' || message || '}' as value from rec"
+        ),
+    ),
+    "decoded_fallbacks": sql(
+        "parsed",
+        select=(
+            "select arrival_seq, case when q % 7 = 0 then case when n % 2 = 1 then 'k-' || source_event_id"
+            " else arrival_seq end else source_event_id end as source_event_id,"
+            " case when source_log_group = '' then 'aws/spans' else source_log_group end as source_log_group,"
+            f" {_str('$.traceId')} as trace_id, {SPAN_ID} as span_id from parsed"
+            f" where doc is not null and q <> 11 and ({_str('$.traceId')}) is not null"
+        ),
+    ),
+    "trace_aggregate": sql(
+        "ded",
+        select=(
+            "select window_s as window_start, trace_id, "
+            + ", ".join(f"count(*) filter (role = '{role}') as {role}" for role in ROLES)
+            + " from ded group by all"
+        ),
+    ),
+    "relay_summary": sql(
+        "rec", "ded", "best", "emit", "pend",
+        select=(
+            "select d.window_s as window_start, r.n - d.n as deduped_source_events, d.traces as aggregated_traces,"
+            " coalesce(e.n, 0) as emitted_spans, coalesce(e.traces, 0) as emitted_trace_ids,"
+            " coalesce(l.n, 0) as late_decorators_dropped, d.bytes as state_bytes, d.empty as empty_trace_id from"
+            " (select window_s, count(*) as n, count(distinct trace_id) as traces, cast(sum(strlen(message)) as bigint) as bytes,"
+            " count(distinct trace_id) filter (trace_id = '') as empty from ded group by 1) d"
+            " join (select window_s, count(*) as n from rec group by 1) r using (window_s)"
+            f" left join (select window_s, count(*) as n, count(distinct trace_id) as traces from emit where ({ERROR}) is null"
+            " group by 1) e using (window_s)"
+            " left join (select window_s, cast(sum(decorator_records) as bigint) as n from pend"
+            " anti join best using (window_s, trace_id, link_span_id) group by 1) l using (window_s)"
+        ),
+    ),
+    "publish_ledger": sql("led", select="select * from led"),
+    "publish_summary": sql(
+        "led",
+        select=(
+            "select count(*) filter (outcome = 'published') as published_records,"
+            " count(distinct source_event_id) filter (outcome = 'retried') as retried_records,"
+            " (select count(distinct source_event_id) from (select source_event_id from led where attempt > 1"
+            " group by batch_id, chunk_index, attempt, source_event_id having bool_and(outcome = 'published'))) as recovered_on_retry,"
+            " count(*) filter (outcome = 'dead') as sent_to_failure_queue, cast(0 as bigint) as failure_queue_send_failures,"
+            " count(distinct (batch_id, chunk_index, attempt)) as publish_attempts from led"
+        ),
+    ),
+    "retry_subset": sql(
+        "led",
+        select=f"select {ROW}, source_event_id from led where attempt = 1 and outcome = 'retried'",
+    ),
+    "recovered_ids": sql(
+        "led",
+        select=(
+            "select distinct source_event_id from led where attempt > 1"
+            " group by batch_id, chunk_index, attempt, source_event_id having bool_and(outcome = 'published')"
+        ),
+    ),
+    "retry_plan": sql(
+        "led",
+        select=(
+            "select batch_id, chunk_index, attempt, count(*) as failed_records,"
+            " cast(least(200 * (1 << least(attempt - 1, 4)), 2000) as bigint) as base_ms, true as jitter_in_range"
+            " from led where outcome = 'retried' group by batch_id, chunk_index, attempt"
+        ),
+    ),
+    "dead_letters": sql(
+        "led", "sent",
+        select=(
+            "select batch_id, chunk_index, position, 'kinesis_publish_failure' as kind, 'span-stream' as stream_name,"
+            " s.trace_id as partition_key, s.source_event_id, s.trace_id, 'aws/spans' as source_log_group,"
+            " s.message as record, attempt as attempt_count, error_code as last_error_code,"
+            " error_message as last_error_message, (row_number() over (partition by batch_id, chunk_index"
+            " order by attempt, position) - 1) // 10 as send_index"
+            " from (select * exclude (source_event_id) from led where outcome = 'dead') join sent s"
+            " using (batch_id, chunk_index, position)"
+        ),
+    ),
+    "replayed_records": sql(
+        "led", "sent",
+        select=(
+            "select source_event_id, trace_id, count(*) as copies from (select source_event_id, trace_id from sent"
+            " union all select s.source_event_id, s.trace_id from sent s semi join"
+            " (select * from led where outcome = 'dead') using (batch_id, chunk_index, position)) group by all"
+        ),
+    ),
+    "response_pairs": sql(
+        "answer",
+        select=(
+            f"select {ROW}, source_event_id, case when short then 'UnexpectedResponseRecordCount' else error_code end as error_code,"
+            " case when short then (n - 1) || ' result entries for ' || n || ' records'"
+            " else 'failed: ' || error_code end as error_message,"
+            " short or coalesce(error_code like 'Prov%', false) as retryable from"
+            " (select *, (batch_id + chunk_index) % 3 = 0 as short, count(*) over (partition by batch_id, chunk_index) as n"
+            " from answer where attempt = 1)"
+        ),
+    ),
+    "request_failures": sql(
+        "sent",
+        select=(
+            f"select {ROW}, source_event_id, 1 as attempt, 'ServiceUnavailable' as error_code,"
+            " 'unavailable' as error_message, true as retryable from sent where (batch_id + chunk_index) % 5 = 0"
+        ),
+    ),
 }

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanflow.functions import otlp
-from spanflow.functions.json import configure, strict_array, strict_str, type_name
+from spanflow.functions.json import configure, strict_array, strict_str, with_document
 from spanflow.functions.links import link_span_id, link_trace_id, normalize_links
 from spanflow.functions.records import (
     classify_record,
@@ -23,11 +23,26 @@ from spanflow.functions.records import (
 )
 from spanflow.operators import linking
 from spanflow.operators.windows import dedupe_counts, dedupe_events, tumbling_window
-from spanflow.plans import export, partition, reconcile
-from spanflow.sources import derived, stream_records
+from spanflow.functions.retry import is_retryable_error
+from spanflow.plans import export, metrics, partition, publish, reconcile
+from spanflow.sources import derived, log_batches, stream_records
 
 EVENT = ["source_event_id", "arrival_seq"]
 
+# One of nine spellings per row; the fixed text also runs in DuckDB.
+HEX_SPELLINGS = (
+    "case event_id % 9"
+    " when 0 then lower(hex(event_id))"
+    " when 1 then '0x' || lpad(hex(event_id), 8, '0')"
+    " when 2 then '0X' || lpad(hex(event_id), 8, '0') || ' '"
+    " when 3 then substr(lpad(hex(event_id), 8, '0'), 1, 2) || '-' || substr(lpad(hex(event_id), 8, '0'), 3, 6)"
+    " when 4 then '  ' || substr(lpad(hex(event_id), 8, '0'), 1, 4) || ' :_' || substr(lpad(hex(event_id), 8, '0'), 5, 4)"
+    " when 5 then lpad(hex(event_id), 8, '0') || 'zz'"
+    " when 6 then '0x0x' || lpad(hex(event_id), 8, '0')"
+    " when 7 then ''"
+    " else lpad(hex(event_id), 7, '0') end"
+)
+
 
 def epoch(name: str) -> Column:
     return F.unix_seconds(name)
@@ -285,6 +300,230 @@ def otlp_convert_errors(spark, sf_dir):
     )
 
 
+def otlp_payloads(spark, sf_dir):
+    texts = export.otlp_json(export.otlp_rows(spans(spark, sf_dir)))
+    return export.compact_payloads(texts).select(
+        epoch("window_start").alias("window_s"), "source", "spans", "content_type"
+    )
+
+
+def otlp_payload_fields(spark, sf_dir):
+    """One payload per span, written as text and read back."""
+    rows = export.otlp_rows(
+        convertible_records(spark, sf_dir).withColumns(
+            {
+                "window_start": F.col("arrival_ts"),
+                "is_target": F.lit(False),
+                "link_span_id": F.lit(None).cast("string"),
+                "merged_links": F.lit(None).cast("array<variant>"),
+            }
+        )
+    )
+    payloads = export.single_payloads(export.otlp_json(rows), "source_event_id", "arrival_seq")
+    doc, span = F.col("doc"), "$.resourceSpans[0].scopeSpans[0].spans[0]"
+
+    def size(path: str) -> Column:
+        return F.size(strict_array(doc, path)).cast("bigint")
+
+    return with_document(payloads, F.col("payload"), "doc").select(
+        *EVENT,
+        "source",
+        "content_type",
+        strict_str(doc, f"{span}.traceId").alias("trace_id"),
+        strict_str(doc, f"{span}.name").alias("name"),
+        strict_str(doc, f"{span}.endTimeUnixNano").alias("end_time"),
+        strict_str(doc, "$.resourceSpans[0].scopeSpans[0].scope.version").alias("scope_version"),
+        size("$.resourceSpans[0].resource.attributes").alias("resource_attributes"),
+        size(f"{span}.attributes").alias("attributes"),
+        size(f"{span}.events").alias("events"),
+        size(f"{span}.links").alias("links"),
+    )
+
+
+def hex_cleaning(spark, sf_dir):
+    """Awkward spellings of hex ids, made from the event ids."""
+    table = derived.spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    raw = table.selectExpr("event_id", f"{HEX_SPELLINGS} as raw")
+    return raw.withColumn("clean", otlp.clean_hex(F.col("raw")))
+
+
+# Log batches, chunks, wrapped records and their decoding.
+
+
+def log_scan(spark, sf_dir):
+    envelopes = derived.log_batches(configure(spark), sf_dir)
+    return log_batches.read_log_batches(envelopes).select(
+        "batch_id", F.col("pos").cast("bigint").alias("pos"), "source_event_id",
+        "event_timestamp", "message",
+    )
+
+
+def partition_summary(spark, sf_dir):
+    return metrics.partition_summary(parsed(spark, sf_dir), "batch_id")
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid records of each log batch in chunks of 500."""
+    return partition.partition_batches(
+        derived.log_batches(configure(spark), sf_dir)
+    ).withColumnRenamed("log_group", "source_log_group")
+
+
+def chunk_500(spark, sf_dir):
+    return requests(spark, sf_dir).select(
+        "batch_id", "chunk_index", "position", "source_event_id", "trace_id"
+    )
+
+
+def chunk_10(spark, sf_dir):
+    """Events of each user in groups of ten, by event id."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id")
+    return partition.chunk_records(table, "user_id", "event_id", partition.DEAD_LETTER_CHUNK)
+
+
+def wrapped_records(spark, sf_dir):
+    return partition.wrap_record(records(spark, sf_dir)).select(*EVENT, "key", "value")
+
+
+def decoded_fallbacks(spark, sf_dir):
+    """Stream records with some envelope fields emptied, decoded with fallbacks."""
+    frame = parsed(spark, sf_dir).where(F.col("record").isNotNull())
+    trace_id = F.when(F.col("q") % 5 == 0, "").otherwise(F.coalesce("trace_id", F.lit("")))
+    emptied = frame.withColumns(
+        {
+            "event_id": F.when(F.col("n") % 2 == 1, F.concat(F.lit("k-"), "source_event_id")),
+            "sequence_number": F.col("arrival_seq"),
+            "source_event_id": F.when(F.col("q") % 7 == 0, "").otherwise(F.col("source_event_id")),
+            "trace_id": trace_id,
+        }
+    )
+    wrapped = partition.wrap_record(emptied)
+    broken = F.when(F.col("q") == 11, F.concat("value", F.lit("}"))).otherwise(F.col("value"))
+    stream = wrapped.select(
+        "arrival_seq", "event_id", "sequence_number", F.encode(broken, "UTF-8").alias("value")
+    )
+    return stream_records.read_partitioned(stream).select(
+        "arrival_seq", "source_event_id", "source_log_group", "trace_id",
+        span_id_of_record(F.col("record")).alias("span_id"),
+    )
+
+
+# Window counters.
+
+
+def trace_aggregate(spark, sf_dir):
+    return metrics.trace_aggregate(unique_events(spark, sf_dir)).withColumn(
+        "window_start", epoch("window_start")
+    )
+
+
+def relay_summary(spark, sf_dir):
+    summary = metrics.relay_summary(
+        records(spark, sf_dir), F.octet_length("message").cast("bigint")
+    )
+    return summary.withColumn("window_start", epoch("window_start"))
+
+
+# Publishing.
+
+
+def outcomes(sent: DataFrame) -> DataFrame:
+    """Scripted answers by order and line: recovers, always throttled, denied, no time left."""
+    order = F.split("source_event_id", "-")
+    case = (F.get(order, F.lit(1)).cast("bigint") + F.get(order, F.lit(2)).cast("bigint")) % 20
+    throttled = F.lit("ProvisionedThroughputExceededException")
+    code = (
+        F.when((case == 0) & (F.col("attempt") == 1), throttled)
+        .when(case.isin(1, 3), throttled)
+        .when(case == 2, F.lit("AccessDeniedException"))
+    )
+    return (
+        sent.select(*publish.ROW, "source_event_id", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("attempt"))
+        .withColumn("error_code", code)
+        .withColumn("error_message", F.concat(F.lit("failed: "), "error_code"))
+        .withColumn("budget_ms", F.when(case == 3, 4999).otherwise(60000))
+    )
+
+
+def ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sent = requests(spark, sf_dir)
+    return publish.publish_ledger(sent, outcomes(sent)), sent
+
+
+def publish_ledger(spark, sf_dir):
+    return ledger(spark, sf_dir)[0]
+
+
+def publish_summary(spark, sf_dir):
+    return publish.publish_summary(ledger(spark, sf_dir)[0])
+
+
+def retry_subset(spark, sf_dir):
+    attempts, sent = ledger(spark, sf_dir)
+    subset = publish.failed_subset_join(sent, attempts, 1)
+    return subset.select(*publish.ROW, "source_event_id")
+
+
+def recovered_ids(spark, sf_dir):
+    return publish.recovered_ids(ledger(spark, sf_dir)[0])
+
+
+def retry_plan(spark, sf_dir):
+    delays = publish.retry_delays(ledger(spark, sf_dir)[0])
+    return delays.select(
+        *publish.CHUNK, "attempt", "failed_records", "base_ms",
+        F.col("jitter_ms").between(0, 99).alias("jitter_in_range"),
+    )
+
+
+def dead_letters(spark, sf_dir):
+    attempts, sent = ledger(spark, sf_dir)
+    letters = publish.chunk_failures(publish.dead_letters(attempts, sent, "span-stream"))
+    return letters.drop("failed_at")
+
+
+def replayed_records(spark, sf_dir):
+    """Live records joined by the dead letters of the publish step."""
+    attempts, sent = ledger(spark, sf_dir)
+    columns = ["source_log_group", "source_event_id", "trace_id", "message", "record"]
+    replayed = publish.replay_dead_letters(publish.dead_letters(attempts, sent, "span-stream"))
+    return (
+        stream_records.union_streams(sent.select(*columns), replayed.select(*columns))
+        .groupBy("source_event_id", "trace_id")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+
+
+def response_pairs(spark, sf_dir):
+    """First-attempt answers paired by position; every third chunk misses its last one."""
+    sent = requests(spark, sf_dir).select(*publish.ROW, "source_event_id")
+    answers = outcomes(sent).where("attempt = 1")
+    last = F.max("position").over(Window.partitionBy(*publish.CHUNK))
+    short = (F.col("batch_id") + F.col("chunk_index")) % 3 == 0
+    answers = answers.withColumn("_last", last).where(~(short & (F.col("position") == F.col("_last"))))
+    return publish.response_zip_join(sent, answers)
+
+
+def request_failures(spark, sf_dir):
+    """Every fifth chunk fails as a whole request."""
+    sent = requests(spark, sf_dir).select(*publish.ROW, "source_event_id")
+    failed = (
+        sent.select(*publish.CHUNK)
+        .distinct()
+        .where((F.col("batch_id") + F.col("chunk_index")) % 5 == 0)
+        .withColumns(
+            {
+                "attempt": F.lit(1),
+                "error_code": F.lit("ServiceUnavailable"),
+                "error_message": F.lit("unavailable"),
+            }
+        )
+    )
+    return publish.request_failure_fanout(sent, failed).withColumn(
+        "retryable", is_retryable_error(F.col("error_code"))
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "linked_targets": linked_targets,
     "subscription_filtered": subscription_filtered,
@@ -308,4 +547,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "otlp_events": otlp_events,
     "otlp_links": otlp_links,
     "otlp_convert_errors": otlp_convert_errors,
+    "otlp_payloads": otlp_payloads,
+    "otlp_payload_fields": otlp_payload_fields,
+    "hex_cleaning": hex_cleaning,
+    "log_scan": log_scan,
+    "partition_summary": partition_summary,
+    "chunk_500": chunk_500,
+    "chunk_10": chunk_10,
+    "wrapped_records": wrapped_records,
+    "decoded_fallbacks": decoded_fallbacks,
+    "trace_aggregate": trace_aggregate,
+    "relay_summary": relay_summary,
+    "publish_ledger": publish_ledger,
+    "publish_summary": publish_summary,
+    "retry_subset": retry_subset,
+    "recovered_ids": recovered_ids,
+    "retry_plan": retry_plan,
+    "dead_letters": dead_letters,
+    "replayed_records": replayed_records,
+    "response_pairs": response_pairs,
+    "request_failures": request_failures,
 }

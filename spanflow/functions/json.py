@@ -19,7 +19,7 @@ U64 = "decimal(20,0)"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the two session options that span log jobs need.
+    """Set the session options that span log jobs need.
 
     A repeated object key keeps its last value instead of failing the parse. The
     long CASE and JSON expressions here compile to methods beyond the 8,000

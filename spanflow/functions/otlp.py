@@ -30,8 +30,17 @@ UNICODE_SPACE = (
 )
 HEX_SEPARATORS = r"[:\-_ \t\n\f\r]"
 
-# How deep attribute values may nest before their text is left to the slow path.
-NESTING = 6
+# Levels of nesting that attribute values are unfolded by; deeper ones are
+# rewritten token by token, to any depth.
+NESTING = 2
+
+# Tokens of compact JSON text: key with colon, string, bracket or comma, the rest.
+JSON_TOKENS = (
+    r'"[^"\\]*+(?:\\.[^"\\]*+)*+":'
+    r'|"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    r"|[{}\[\],]"
+    r'|[^{}\[\],:"]+'
+)
 
 
 def clean_hex(text: Column) -> Column:
@@ -120,31 +129,70 @@ def _key_value(key: Column, value: Column) -> Column:
     return F.concat(F.lit('{"key":'), json_quote(key), F.lit(',"value":'), value, F.lit("}"))
 
 
+def _wrapped(name: str, text: Column) -> Column:
+    return F.concat(F.lit(f'{{"{name}":'), text, F.lit("}"))
+
+
+def nested_value(value: Column) -> Column:
+    """OTLP/JSON text of an object or array of any depth.
+
+    What each JSON token turns into depends only on the token and the ones next
+    to it, so one pass over the tokens does it, without recursion. The one thing
+    the printed value does not tell is a fraction of zero: 1.0 prints as 1.
+    """
+
+    def rewrite(tokens: Column) -> Column:
+        def one(token: Column, i: Column) -> Column:
+            before, after = F.get(tokens, i - 1), F.get(tokens, i + 1)
+            is_key, is_text = token.endswith('":'), token.startswith('"')
+            return (
+                F.when(token == "{", '{"kvlistValue":{"values":[')
+                .when(token == "[", '{"arrayValue":{"values":[')
+                .when(token == "]", "]}}")
+                .when(token == "}", F.when(before == "{", "]}}").otherwise("}]}}"))
+                .when(token == ",", F.when(after.endswith('":'), "},").otherwise(","))
+                .when(
+                    is_key,
+                    F.concat(F.lit('{"key":'), F.rtrim(token, F.lit(":")), F.lit(',"value":')),
+                )
+                .when(is_text, _wrapped("stringValue", token))
+                .when(token.isin("true", "false"), _wrapped("boolValue", token))
+                .when(token == "null", '{"stringValue":"null"}')
+                .when(
+                    token.rlike("^-?[0-9]+$") & token.try_cast("bigint").isNotNull(),
+                    _wrapped("intValue", F.concat(F.lit('"'), token, F.lit('"'))),
+                )
+                .otherwise(_wrapped("doubleValue", token.try_cast("double").cast("string")))
+            )
+
+        return F.array_join(F.transform(tokens, one), "")
+
+    tokens = F.regexp_extract_all(F.to_json(value), F.lit(JSON_TOKENS), F.lit(0))
+    return let(tokens, rewrite)
+
+
 def any_value(value: Column, depth: int = NESTING) -> Column:
-    """OTLP/JSON text of one JSON value; null when it nests deeper than ``depth``.
+    """OTLP/JSON text of one JSON value.
 
     Integers of 64 signed bits are intValue, all other numbers doubleValue, a
     JSON null is the text "null".
     """
 
-    def wrapped(name: str, text: Column) -> Column:
-        return F.concat(F.lit(f'{{"{name}":'), text, F.lit("}"))
-
     def convert(kind: Column) -> Column:
         is_object, is_array = kind.startswith("OBJECT"), kind.startswith("ARRAY")
         double = F.try_variant_get(value, "$", "double").cast("string")
         column = (
-            F.when(kind == "STRING", wrapped("stringValue", F.to_json(value)))
+            F.when(kind == "STRING", _wrapped("stringValue", F.to_json(value)))
             .when(
                 kind == "BIGINT",
-                wrapped("intValue", F.concat(F.lit('"'), F.to_json(value), F.lit('"'))),
+                _wrapped("intValue", F.concat(F.lit('"'), F.to_json(value), F.lit('"'))),
             )
-            .when(kind == "BOOLEAN", wrapped("boolValue", F.to_json(value)))
+            .when(kind == "BOOLEAN", _wrapped("boolValue", F.to_json(value)))
             .when(kind == "VOID", F.lit('{"stringValue":"null"}'))
-            .when(~is_object & ~is_array, wrapped("doubleValue", double))
+            .when(~is_object & ~is_array, _wrapped("doubleValue", double))
         )
         if depth == 0:
-            return column
+            return column.otherwise(nested_value(value))
         # Objects and arrays share one branch, so the expression grows by one
         # level per depth instead of doubling.
         elements = F.coalesce(
@@ -165,23 +213,13 @@ def any_value(value: Column, depth: int = NESTING) -> Column:
         )
         name = F.when(is_object, "kvlistValue").otherwise("arrayValue")
         nested = F.concat(
-            F.lit('{"'), name, F.lit('":{"values":['), _join(texts), F.lit("]}}")
+            F.lit('{"'), name, F.lit('":{"values":['), F.array_join(texts, ","), F.lit("]}}")
         )
         return column.otherwise(nested)
 
     return let(type_name(value), convert)
 
 
-def _join(texts: Column) -> Column:
-    """Comma-joined texts; null when one of them is null."""
-    return let(
-        texts,
-        lambda all_: F.when(
-            ~F.exists(all_, lambda t: t.isNull()), F.array_join(all_, ",")
-        ),
-    )
-
-
 def _entries(mapping: Column) -> Column:
     return F.map_entries(mapping)
 
@@ -190,10 +228,7 @@ ATTRIBUTES = "array<struct<key:string,value:string>>"
 
 
 def convert_attributes(doc: Column, path: str) -> Column:
-    """Object at ``path`` to key-sorted ``key`` and OTLP value text; else empty.
-
-    A value nested beyond ``NESTING`` has a null text here.
-    """
+    """Object at ``path`` to key-sorted ``key`` and OTLP value text; else empty."""
     entries = F.transform(
         _entries(strict_object(doc, path)),
         lambda e: F.struct(e["key"].alias("key"), any_value(e["value"]).alias("value")),

@@ -121,14 +121,14 @@ def otlp_json(rows: DataFrame) -> DataFrame:
     )
 
 
-def single_payloads(texts: DataFrame) -> DataFrame:
+def single_payloads(texts: DataFrame, *keep: str) -> DataFrame:
     """One payload per span, tagged with its source and content type."""
     payload = F.concat(
         F.lit('{"resourceSpans":[{"resource":'), F.col("resource"),
         F.lit(',"scopeSpans":[{"scope":'), F.col("scope"),
         F.lit(',"spans":['), F.col("span"), F.lit("]}]}]}"),
     )
-    return texts.select("window_start", "source", *_payload_columns(payload))
+    return texts.select("window_start", "source", *keep, *_payload_columns(payload))
 
 
 def _payload_columns(payload: Column) -> list[Column]:
@@ -144,18 +144,21 @@ MAX_PAYLOAD_SPANS = 512
 HOT_SHARE = 10_000
 
 
-def hot_groups(texts: DataFrame, share: int = HOT_SHARE) -> DataFrame:
+def hot_groups(
+    texts: DataFrame, max_spans: int = MAX_PAYLOAD_SPANS, share: int = HOT_SHARE
+) -> DataFrame:
     """Windows and sources that hold more than 1/``share`` of all spans.
 
     There are fewer than ``share`` of them whatever the data, which is what
-    makes the broadcast in ``compact_payloads`` safe.
+    makes the broadcast in ``compact_payloads`` safe. A group that fits one
+    payload is never hot.
     """
     counts = texts.groupBy("window_start", "source").agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    parts = F.ceil(F.col("_n") * share / total).cast("bigint")
+    parts = F.ceil(F.least(F.col("_n") * share / total, F.col("_n") / max_spans))
     return (
-        counts.where(F.col("_n") * share > total)
-        .withColumn("_parts", parts)
+        counts.where((F.col("_n") > max_spans) & (F.col("_n") * share > total))
+        .withColumn("_parts", parts.cast("bigint"))
         .drop("_n")
     )
 
@@ -170,7 +173,7 @@ def compact_payloads(
     """
     group = ["window_start", "source", "_part"]
     spread = texts.join(
-        F.broadcast(hot_groups(texts, share)), ["window_start", "source"], "left"
+        F.broadcast(hot_groups(texts, max_spans, share)), ["window_start", "source"], "left"
     ).withColumn(
         "_part",
         F.pmod(

@@ -169,6 +169,7 @@ def response_zip_join(requests: DataFrame, responses: DataFrame) -> DataFrame:
             {
                 "error_code": F.when(wrong, COUNT_MISMATCH).otherwise(F.col("error_code")),
                 "error_message": F.when(wrong, message).otherwise(F.col("error_message")),
+                "retryable": wrong | is_retryable_error(F.col("error_code")),
             }
         )
         .drop("_sent", "_got")
