@@ -267,6 +267,22 @@ STEPS["led"] = (
 )
 ROW = "batch_id, chunk_index, position"
 
+# The watermark is the newest arrival among good records.
+CLOSED = "window_s + 60 <= (select max(arrival_s) from rec)"
+
+SUMMARY = (
+    "select d.window_s as window_start, r.n - d.n as deduped_source_events, d.traces as aggregated_traces,"
+    " coalesce(e.n, 0) as emitted_spans, coalesce(e.traces, 0) as emitted_trace_ids,"
+    " coalesce(l.n, 0) as late_decorators_dropped, d.bytes as state_bytes, d.empty as empty_trace_id from"
+    " (select window_s, count(*) as n, count(distinct trace_id) as traces, cast(sum(strlen(message)) as bigint) as bytes,"
+    " count(distinct trace_id) filter (trace_id = '') as empty from ded group by 1) d"
+    " join (select window_s, count(*) as n from rec group by 1) r using (window_s)"
+    f" left join (select window_s, count(*) as n, count(distinct trace_id) as traces from emit where ({ERROR}) is null"
+    " group by 1) e using (window_s)"
+    " left join (select window_s, cast(sum(decorator_records) as bigint) as n from pend"
+    " anti join best using (window_s, trace_id, link_span_id) group by 1) l using (window_s)"
+)
+
 LINK_TEXT = "string_agg(t || ':' || s || ':' || json_extract_string(link, '$.flags'), ',' order by t, s, pos)"
 
 ORACLES: dict[str, str] = {
@@ -512,20 +528,10 @@ ORACLES: dict[str, str] = {
             + " from ded group by all"
         ),
     ),
-    "relay_summary": sql(
+    "relay_summary": sql("rec", "ded", "best", "emit", "pend", select=SUMMARY),
+    "stream_windows": sql(
         "rec", "ded", "best", "emit", "pend",
-        select=(
-            "select d.window_s as window_start, r.n - d.n as deduped_source_events, d.traces as aggregated_traces,"
-            " coalesce(e.n, 0) as emitted_spans, coalesce(e.traces, 0) as emitted_trace_ids,"
-            " coalesce(l.n, 0) as late_decorators_dropped, d.bytes as state_bytes, d.empty as empty_trace_id from"
-            " (select window_s, count(*) as n, count(distinct trace_id) as traces, cast(sum(strlen(message)) as bigint) as bytes,"
-            " count(distinct trace_id) filter (trace_id = '') as empty from ded group by 1) d"
-            " join (select window_s, count(*) as n from rec group by 1) r using (window_s)"
-            f" left join (select window_s, count(*) as n, count(distinct trace_id) as traces from emit where ({ERROR}) is null"
-            " group by 1) e using (window_s)"
-            " left join (select window_s, cast(sum(decorator_records) as bigint) as n from pend"
-            " anti join best using (window_s, trace_id, link_span_id) group by 1) l using (window_s)"
-        ),
+        select=f"select * from ({SUMMARY}) where {CLOSED.replace('window_s', 'window_start')}",
     ),
     "publish_ledger": sql("led", select="select * from led"),
     "publish_summary": sql(
@@ -596,4 +602,18 @@ ORACLES: dict[str, str] = {
             " 'unavailable' as error_message, true as retryable from sent where (batch_id + chunk_index) % 5 = 0"
         ),
     ),
+    "stream_reconcile": sql(
+        "emit", "final_link", "rec",
+        select=(
+            f"select e.window_s, e.trace_id, e.is_target, {EVENT}, coalesce(l.links, '') as links from"
+            f" (select * from emit where {CLOSED}) e left join"
+            f" (select {EVENT}, b.window_s, true as is_target, string_agg(f.t || ':' || f.s || ':' ||"
+            " json_extract_string(f.link, '$.flags'), ',' order by f.pos) as links"
+            " from best b join final_link f using (window_s, trace_id, link_span_id) group by all"
+            f" union all select {EVENT}, o.window_s, false, string_agg({_str('$.traceId', 'k.value')} || ':' ||"
+            f" {_str('$.spanId', 'k.value')} || ':' || json_extract_string(k.value, '$.flags'), ',' order by k.key::int)"
+            " from (select * from ded where role = 'ordinary') o, json_each(o.doc, '$.links') k group by all) l"
+            f" using ({EVENT}, window_s, is_target)"
+        ),
+    ),
 }

@@ -26,6 +26,7 @@ from spanflow.operators.windows import dedupe_counts, dedupe_events, tumbling_wi
 from spanflow.functions.retry import is_retryable_error
 from spanflow.plans import export, metrics, partition, publish, reconcile
 from spanflow.sources import derived, log_batches, stream_records
+from spanflow.streaming import relay
 
 EVENT = ["source_event_id", "arrival_seq"]
 
@@ -524,6 +525,47 @@ def request_failures(spark, sf_dir):
     )
 
 
+# Streaming. The newest windows stay open, so only closed ones come out.
+
+
+def _run_stream(spark: SparkSession, sf_dir: str, on_close) -> None:
+    relay.configure_stream(spark)
+    frame = partition.good_records(
+        partition.parse_log_events(derived.log_event_stream(spark, sf_dir))
+    )
+    stream = relay.relay_stream(
+        stream_records.fill_log_group(frame), on_close, relay.work_dir(spark)
+    )
+    stream.trigger(availableNow=True).start().awaitTermination()
+
+
+def stream_windows(spark, sf_dir):
+    """Counters of every window that closed."""
+    path = relay.work_dir(spark)
+
+    def write(_spans: DataFrame, summary: DataFrame, batch_id: int) -> None:
+        summary.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    _run_stream(spark, sf_dir, write)
+    closed = spark.read.parquet(path).drop("batch_id")
+    return closed.withColumn("window_start", epoch("window_start"))
+
+
+def stream_reconcile(spark, sf_dir):
+    """Spans of every window that closed, with their links after the merge."""
+    path = relay.work_dir(spark)
+
+    def write(spans_: DataFrame, _summary: DataFrame, batch_id: int) -> None:
+        links = F.coalesce(F.col("merged_links"), strict_array(F.col("record"), "$.links"))
+        spans_.select(
+            epoch("window_start").alias("window_s"), "trace_id", "is_target", *EVENT,
+            F.coalesce(_links_text(links), F.lit("")).alias("links"),
+        ).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    _run_stream(spark, sf_dir, write)
+    return spark.read.parquet(path).drop("batch_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "linked_targets": linked_targets,
     "subscription_filtered": subscription_filtered,
@@ -567,4 +609,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replayed_records": replayed_records,
     "response_pairs": response_pairs,
     "request_failures": request_failures,
+    "stream_windows": stream_windows,
+    "stream_reconcile": stream_reconcile,
 }

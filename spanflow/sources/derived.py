@@ -225,9 +225,19 @@ def spread(table: DataFrame) -> DataFrame:
 
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per log event: envelope columns, message and arrival."""
-    keys = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet")).selectExpr(
-        *[f"{sql} as {name}" for name, sql in KEYS.items()]
-    )
+    return as_events(spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet")))
+
+
+def log_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``log_events`` as a stream over the table's files."""
+    name = "lineitem.parquet"
+    schema = spark.read.parquet(f"{sf_dir}/{name}").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", name)
+    return as_events(stream.parquet(sf_dir))
+
+
+def as_events(lineitem: DataFrame) -> DataFrame:
+    keys = lineitem.selectExpr(*[f"{sql} as {name}" for name, sql in KEYS.items()])
     return keys.selectExpr(
         "k", "n", "p", "s", "q",
         *[f"{sql} as {name}" for name, sql in COLUMNS.items()],
