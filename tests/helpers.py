@@ -58,9 +58,9 @@ CLIENT = {
 }
 
 
-def changed(record: dict, **fields) -> dict:
+def changed(original: dict, /, **fields) -> dict:
     """A copy with fields replaced; a field set to ``...`` is removed."""
-    result = copy.deepcopy(record)
+    result = copy.deepcopy(original)
     for name, value in fields.items():
         if value is ...:
             result.pop(name, None)
@@ -79,7 +79,7 @@ def documents(spark, *texts):
     )
 
 
-def arrivals(spark, rows):
+def arrivals(spark, rows, first=0):
     """Keyed records from ``(seconds, event id, record)``; order of rows is arrival order."""
     data = [
         (
@@ -90,7 +90,7 @@ def arrivals(spark, rows):
             record["traceId"],
             json.dumps(record),
         )
-        for i, (seconds, event_id, record) in enumerate(rows)
+        for i, (seconds, event_id, record) in enumerate(rows, first)
     ]
     schema = (
         "arrival_ts timestamp, arrival_seq string, source_event_id string,"
