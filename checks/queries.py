@@ -229,7 +229,7 @@ def convertible_records(spark, sf_dir):
 
 
 def otlp_scalars(spark, sf_dir):
-    columns = export.otlp_scalars(F.col("record"))
+    columns = otlp.span_scalars(F.col("raw"))
     for name in ["start_time_unix_nano", "end_time_unix_nano", "flags", "kind", "status_code"]:
         columns[name] = columns[name].cast("bigint")
     columns["service_name"] = F.get(
@@ -241,7 +241,7 @@ def otlp_scalars(spark, sf_dir):
         ),
         F.lit(0),
     )
-    return convertible_records(spark, sf_dir).select(
+    return export.with_raw_fields(convertible_records(spark, sf_dir)).select(
         *EVENT, *[column.alias(name) for name, column in columns.items()]
     )
 
@@ -448,7 +448,7 @@ def outcomes(sent: DataFrame) -> DataFrame:
 
 def ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     sent = requests(spark, sf_dir)
-    return publish.publish_ledger(sent, outcomes(sent)), sent
+    return publish.publish_ledger(outcomes(sent)), sent
 
 
 def publish_ledger(spark, sf_dir):

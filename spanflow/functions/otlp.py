@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from spanflow.functions.json import (
+    U64,
     json_quote,
     let,
     present,
@@ -61,11 +62,8 @@ def decode_hex(text: Column) -> Column:
 
 
 def _enum(text: Column, numbers: dict[str, int]) -> Column:
-    upper = F.upper(text)
-    column = F
-    for name, number in numbers.items():
-        column = column.when(upper == name, number)
-    return column.otherwise(0)
+    pairs = [F.lit(x) for pair in numbers.items() for x in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.upper(text)), F.lit(0))
 
 
 def span_kind(kind: Column) -> Column:
@@ -76,29 +74,30 @@ def status_code(code: Column) -> Column:
     return _enum(code, STATUS_CODES)
 
 
-def status_message(record: Column) -> Column:
-    return F.coalesce(strict_str(record, "$.status.message"), F.lit(""))
-
-
-def span_name(record: Column) -> Column:
-    return F.coalesce(
-        F.nullif(strict_str(record, "$.name"), F.lit("")),
-        F.nullif(strict_str(record, "$._aws.xray.name"), F.lit("")),
-        F.lit(UNNAMED_SPAN),
-    )
-
-
-def scope_field(record: Column, name: str) -> Column:
-    return F.coalesce(strict_str(record, f"$.scope.{name}"), F.lit(""))
-
-
-def end_time_nanos(record: Column) -> Column:
-    return strict_u64(record, "$.endTimeUnixNano")
-
-
-def start_time_nanos(record: Column) -> Column:
+def raw_fields(record: Column) -> dict[str, Column]:
+    """What a span is made of, each read from the record once and checked for type."""
+    end = strict_u64(record, "$.endTimeUnixNano")
+    return {
+        "trace_id": strict_str(record, "$.traceId"),
+        "span_id": strict_str(record, "$.spanId"),
+        "parent_span_id": strict_str(record, "$.parentSpanId"),
+        "name": strict_str(record, "$.name"),
+        "xray_name": strict_str(record, "$._aws.xray.name"),
+        "kind": strict_str(record, "$.kind"),
+        "start": strict_u64(record, "$.startTimeUnixNano"),
+        "end": end,
+        "status_code": strict_str(record, "$.status.code"),
+        "status_message": strict_str(record, "$.status.message"),
+        "flags": strict_u64(record, "$.flags"),
+        "scope_name": strict_str(record, "$.scope.name"),
+        "scope_version": strict_str(record, "$.scope.version"),
+        "is_object": end.isNotNull() | strict_object(record, "$").isNotNull(),
+    }
+
+
+def span_name(name: Column, xray_name: Column) -> Column:
     return F.coalesce(
-        strict_u64(record, "$.startTimeUnixNano"), F.lit(0).cast("decimal(20,0)")
+        F.nullif(name, F.lit("")), F.nullif(xray_name, F.lit("")), F.lit(UNNAMED_SPAN)
     )
 
 
@@ -106,25 +105,42 @@ def flags32(doc: Column) -> Column:
     return wrap_u32(strict_u64(doc, "$.flags"))
 
 
-def record_id(record: Column, name: str) -> Column:
+def clean_id(raw: Column) -> Column:
     """Clean hex of an id field; empty when absent, null when it is not hex."""
-    raw = strict_str(record, f"$.{name}")
     return F.when(raw.isNull(), F.lit("")).otherwise(clean_hex(raw))
 
 
-def convert_error(record: Column) -> Column:
-    """Why a record cannot become a span; null when it can."""
+def convert_error(raw: Column) -> Column:
+    """Why the record of these raw fields cannot become a span; null when it can."""
     return (
-        F.when(
-            end_time_nanos(record).isNull(),
-            F.when(strict_object(record, "$").isNull(), "not_an_object").otherwise("end_time"),
-        )
-        .when(record_id(record, "traceId").isNull(), "trace_id")
-        .when(record_id(record, "spanId").isNull(), "span_id")
-        .when(record_id(record, "parentSpanId").isNull(), "parent_span_id")
+        F.when(~raw["is_object"], "not_an_object")
+        .when(raw["end"].isNull(), "end_time")
+        .when(clean_id(raw["trace_id"]).isNull(), "trace_id")
+        .when(clean_id(raw["span_id"]).isNull(), "span_id")
+        .when(clean_id(raw["parent_span_id"]).isNull(), "parent_span_id")
     )
 
 
+def span_scalars(raw: Column) -> dict[str, Column]:
+    def text(name: str) -> Column:
+        return F.coalesce(raw[name], F.lit(""))
+
+    return {
+        "trace_id_hex": clean_id(raw["trace_id"]),
+        "span_id_hex": clean_id(raw["span_id"]),
+        "parent_span_id_hex": clean_id(raw["parent_span_id"]),
+        "name": span_name(raw["name"], raw["xray_name"]),
+        "kind": span_kind(raw["kind"]),
+        "start_time_unix_nano": F.coalesce(raw["start"], F.lit(0).cast(U64)),
+        "end_time_unix_nano": raw["end"],
+        "status_code": status_code(raw["status_code"]),
+        "status_message": text("status_message"),
+        "flags": wrap_u32(raw["flags"]),
+        "scope_name": text("scope_name"),
+        "scope_version": text("scope_version"),
+    }
+
+
 def _key_value(key: Column, value: Column) -> Column:
     return F.concat(F.lit('{"key":'), json_quote(key), F.lit(',"value":'), value, F.lit("}"))
 
@@ -267,7 +283,7 @@ def convert_events(record: Column) -> Column:
         objects,
         lambda e: F.struct(
             F.coalesce(
-                strict_u64(e, "$.timeUnixNano"), F.lit(0).cast("decimal(20,0)")
+                strict_u64(e, "$.timeUnixNano"), F.lit(0).cast(U64)
             ).alias("time_unix_nano"),
             F.coalesce(strict_str(e, "$.name"), F.lit("")).alias("name"),
             convert_attributes(e, "$.attributes").alias("attributes"),
@@ -295,8 +311,8 @@ def convert_links(links: Column) -> Column:
     converted = F.transform(
         links,
         lambda link: F.struct(
-            clean_hex(strict_str(link, "$.traceId")).alias("trace_id_hex"),
-            clean_hex(strict_str(link, "$.spanId")).alias("span_id_hex"),
+            let(strict_str(link, "$.traceId"), clean_hex).alias("trace_id_hex"),
+            let(strict_str(link, "$.spanId"), clean_hex).alias("span_id_hex"),
             link_attributes(link).alias("attributes"),
             flags32(link).alias("flags"),
         ),

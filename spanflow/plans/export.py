@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanflow.functions import otlp
-from spanflow.functions.json import json_quote, strict_array, strict_str
+from spanflow.functions.json import json_quote, strict_array
 
 CONTENT_TYPE = "application/json"
 CARRIED = [
@@ -15,9 +15,20 @@ CARRIED = [
 ]
 
 
+def with_raw_fields(spans: DataFrame) -> DataFrame:
+    """Add ``raw``, the scalar fields of the record.
+
+    As in ``with_document`` the explode keeps filters above from repeating the reads.
+    """
+    fields = otlp.raw_fields(F.col("record"))
+    raw = F.struct(*[column.alias(name) for name, column in fields.items()])
+    return spans.select("*", F.explode(F.array(raw)).alias("raw"))
+
+
 def with_convert_error(spans: DataFrame) -> DataFrame:
     """Add ``convert_error``; null for spans that convert."""
-    return spans.withColumn("convert_error", otlp.convert_error(F.col("record")))
+    error = otlp.convert_error(F.col("raw"))
+    return with_raw_fields(spans).withColumn("convert_error", error).drop("raw")
 
 
 def convertible(spans: DataFrame) -> DataFrame:
@@ -28,27 +39,10 @@ def conversion_errors(spans: DataFrame) -> DataFrame:
     return with_convert_error(spans).where(F.col("convert_error").isNotNull())
 
 
-def otlp_scalars(record: Column) -> dict[str, Column]:
-    return {
-        "trace_id_hex": otlp.record_id(record, "traceId"),
-        "span_id_hex": otlp.record_id(record, "spanId"),
-        "parent_span_id_hex": otlp.record_id(record, "parentSpanId"),
-        "name": otlp.span_name(record),
-        "kind": otlp.span_kind(strict_str(record, "$.kind")),
-        "start_time_unix_nano": otlp.start_time_nanos(record),
-        "end_time_unix_nano": otlp.end_time_nanos(record),
-        "status_code": otlp.status_code(strict_str(record, "$.status.code")),
-        "status_message": otlp.status_message(record),
-        "flags": otlp.flags32(record),
-        "scope_name": otlp.scope_field(record, "name"),
-        "scope_version": otlp.scope_field(record, "version"),
-    }
-
-
-def span_links(spans_record: Column, merged_links: Column) -> Column:
+def span_links(record: Column, merged_links: Column) -> Column:
     """Merged links where a decorator matched, the record's own ones elsewhere."""
     return otlp.convert_links(
-        F.coalesce(merged_links, strict_array(spans_record, "$.links"))
+        F.coalesce(merged_links, strict_array(record, "$.links"))
     )
 
 
@@ -56,13 +50,14 @@ def otlp_rows(spans: DataFrame) -> DataFrame:
     """One row per span that converts; the others are in ``conversion_errors``."""
     record = F.col("record")
     columns = {
-        **otlp_scalars(record),
+        **otlp.span_scalars(F.col("raw")),
         "resource_attributes": otlp.resource_attributes(record),
         "attributes": otlp.convert_attributes(record, "$.attributes"),
         "events": otlp.convert_events(record),
         "links": span_links(record, F.col("merged_links")),
     }
-    return convertible(spans).select(
+    found = with_raw_fields(spans).where(otlp.convert_error(F.col("raw")).isNull())
+    return found.select(
         *CARRIED,
         F.col("source_log_group").alias("source"),
         *[column.alias(name) for name, column in columns.items()],

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanflow.functions.json import with_document
@@ -39,11 +39,11 @@ LEDGER = (
 )
 
 
-def publish_ledger(requests: DataFrame, outcomes: DataFrame) -> DataFrame:
+def publish_ledger(outcomes: DataFrame) -> DataFrame:
     """Which attempts happen, given what each one would answer.
 
-    ``outcomes`` has, per record and attempt, ``error_code`` (null for success),
-    ``error_message``, ``budget_ms`` left at that time and, if the caller knows
+    ``outcomes`` has, per record and attempt, the ``source_event_id``,
+    ``error_code`` (null for success), ``error_message``, ``budget_ms`` left at that time and, if the caller knows
     better than the code list, ``retryable``. An attempt happens when all the
     earlier ones failed in a way that is retried.
     """
@@ -59,9 +59,7 @@ def publish_ledger(requests: DataFrame, outcomes: DataFrame) -> DataFrame:
         Window.unboundedPreceding, -1
     )
     return (
-        requests.select(*ROW, "source_event_id")
-        .join(outcomes.select(*ROW, "attempt", "error_code", "error_message", "retryable", "budget_ms"), ROW)
-        .withColumn("_again", again)
+        outcomes.withColumn("_again", again)
         .withColumn("_reached", F.coalesce(F.min("_again").over(earlier), F.lit(True)))
         .where("_reached")
         .withColumn(
@@ -235,22 +233,31 @@ def publish_summary(ledger: DataFrame, failure_queue_send_failures: int = 0) ->
         F.count_if(F.col("outcome") == DEAD).alias("dead"),
     )
     recovered = (F.col("attempt") > 1) & (F.col("retried") + F.col("dead") == 0)
-    ids = calls.groupBy("source_event_id").agg(
+    # One pass counts both per event id and per chunk, where the calls made are
+    # as many as the highest attempt.
+    both = calls.groupingSets(
+        [["source_event_id"], CHUNK], "source_event_id", *CHUNK
+    ).agg(
+        F.grouping("source_event_id").alias("by_chunk"),
+        F.max("attempt").alias("attempts"),
         F.sum("published").alias("published"),
         F.sum("dead").alias("dead"),
         F.max(F.col("retried") > 0).alias("was_retried"),
         F.max(recovered).alias("was_recovered"),
     )
-    attempts = ledger.select(*CHUNK, "attempt").distinct().agg(
-        F.count(F.lit(1)).alias("publish_attempts")
-    )
-    return ids.agg(
-        F.coalesce(F.sum("published"), F.lit(0)).alias("published_records"),
-        F.count_if("was_retried").alias("retried_records"),
-        F.count_if("was_recovered").alias("recovered_on_retry"),
-        F.coalesce(F.sum("dead"), F.lit(0)).alias("sent_to_failure_queue"),
+    by_id = F.col("by_chunk") == 0
+
+    def total(column: str, condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0)).cast("bigint")
+
+    return both.agg(
+        total("published", by_id).alias("published_records"),
+        F.count_if(by_id & F.col("was_retried")).alias("retried_records"),
+        F.count_if(by_id & F.col("was_recovered")).alias("recovered_on_retry"),
+        total("dead", by_id).alias("sent_to_failure_queue"),
         F.lit(failure_queue_send_failures).cast("bigint").alias("failure_queue_send_failures"),
-    ).withColumn("publish_attempts", attempts.scalar())
+        total("attempts", ~by_id).alias("publish_attempts"),
+    )
 
 
 def dead_letters(ledger: DataFrame, requests: DataFrame, stream_name: str) -> DataFrame:

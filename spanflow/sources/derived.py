@@ -233,7 +233,9 @@ def log_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "lineitem.parquet"
     schema = spark.read.parquet(f"{sf_dir}/{name}").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", name)
-    return as_events(stream.parquet(sf_dir))
+    table = stream.parquet(sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    return as_events(table.repartition(cores, *table.columns))
 
 
 def as_events(lineitem: DataFrame) -> DataFrame:

@@ -12,23 +12,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from spanflow.functions.json import configure
-from spanflow.functions.otlp import convert_error
 from spanflow.operators.linking import with_roles
 from spanflow.operators.windows import ARRIVAL, WINDOW_LENGTH
-from spanflow.plans.export import otlp_rows
+from spanflow.plans.export import otlp_rows, with_convert_error
 from spanflow.plans.metrics import window_summary
 from spanflow.plans.reconcile import reconcile_unique
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 # How the relay reads its stream.
 MAX_RECORDS_PER_TRIGGER = 100
 FILL_WAIT = "1 second"
 
 
 def configure_stream(spark: SparkSession) -> SparkSession:
-    """Session options of ``configure``, and window state on disk, not on the heap."""
+    """Session options of ``configure``, and window state on disk, not on the heap.
+
+    With changelogs a batch saves what it changed instead of the whole state.
+    """
     spark.conf.set(PROVIDER, ROCKSDB)
+    spark.conf.set(CHANGELOG, "true")
     return configure(spark)
 
 
@@ -87,9 +91,9 @@ def first_events(
         "record", "converts", "bytes", *ARRIVAL,
     ]
     prepared = with_roles(
-        records.withColumns(
+        with_convert_error(records).withColumns(
             {
-                "converts": convert_error(F.col("record")).isNull(),
+                "converts": F.col("convert_error").isNull(),
                 "bytes": size.cast("bigint"),
             }
         )

@@ -199,15 +199,17 @@ def test_scripted_ledger_equals_the_run(spark):
         1: {"event-0": THROTTLED, "event-1": THROTTLED, "event-2": "AccessDeniedException"},
         2: {"event-1": THROTTLED}, 3: {"event-1": THROTTLED},
     }
-    sent, ran, _ = run(spark, [CLIENT] * 4, script)
+    _, ran, _ = run(spark, [CLIENT] * 4, script)
     rows = [
-        (0, 0, i, a, script[a].get(f"event-{i}"), "m:" + script[a].get(f"event-{i}", "") if script[a].get(f"event-{i}") else None, 60000)
+        (0, 0, i, f"event-{i}", a, script[a].get(f"event-{i}"), "m:" + script[a].get(f"event-{i}", "") if script[a].get(f"event-{i}") else None, 60000)
         for i in range(4) for a in (1, 2, 3)
     ]
     outcomes = spark.createDataFrame(
-        rows, "batch_id bigint, chunk_index bigint, position bigint, attempt int, error_code string, error_message string, budget_ms bigint"
+        rows,
+        "batch_id bigint, chunk_index bigint, position bigint, source_event_id string, attempt int,"
+        " error_code string, error_message string, budget_ms bigint"
     )
-    told = publish.publish_ledger(sent, outcomes)
+    told = publish.publish_ledger(outcomes)
     key = ["position", "attempt"]
     assert told.select(ran.columns).orderBy(*key).collect() == ran.orderBy(*key).collect()
     assert sorted(r[0] for r in publish.recovered_ids(told).collect()) == ["event-0"]
