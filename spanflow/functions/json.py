@@ -17,6 +17,10 @@ I64_MAX = "9223372036854775807"
 U64_MAX = "18446744073709551615"
 U64 = "decimal(20,0)"
 
+_HIGH, _LOW = r"\\u[dD][89abAB][0-9a-fA-F]{2}", r"\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+# After an even number of backslashes: a high half without a low one, or the reverse.
+LONE_SURROGATE = rf"(?<!\\)(?:\\\\)*(?:{_HIGH}(?!{_LOW})|(?<!{_HIGH}){_LOW})"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set the session options that span log jobs need.
@@ -48,10 +52,16 @@ def _stamped(message: Column) -> Column:
     )
 
 
+def _lone_surrogate(message: Column) -> Column:
+    """Whether an escape names half a character; the regex runs only on suspects."""
+    suspect = message.contains("\\ud") | message.contains("\\uD")
+    return suspect & message.rlike(LONE_SURROGATE)
+
+
 def _unstamped(pair: Column, message: Column) -> Column:
+    whole = F.try_variant_get(pair, "$[1]", "bigint") == F.xxhash64(message)
     return F.when(
-        F.try_variant_get(pair, "$[1]", "bigint") == F.xxhash64(message),
-        F.try_variant_get(pair, "$[0]", "variant"),
+        whole & ~_lone_surrogate(message), F.try_variant_get(pair, "$[0]", "variant")
     )
 
 

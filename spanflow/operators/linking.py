@@ -150,9 +150,14 @@ def unlinked_targets(targets: DataFrame, pending: DataFrame) -> DataFrame:
 
 
 def late_decorators(pending: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per window: decorator records whose target never came."""
+    """Per window: decorator records whose target never came.
+
+    Only the distinct keys of the targets meet the join, so copies of one target
+    do not pile up in one partition.
+    """
+    offered = targets.select(*LINK_KEYS).distinct()
     return (
-        pending.join(targets, LINK_KEYS, "left_anti")
+        pending.join(offered, LINK_KEYS, "left_anti")
         .groupBy("window_start")
         .agg(F.sum("decorator_records").alias("late_decorators_dropped"))
     )

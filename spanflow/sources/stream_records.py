@@ -70,6 +70,17 @@ def write_partitioned(wrapped: DataFrame, path: str, mode: str = "append") -> No
     wrapped.drop("record").hint("rebalance", "trace_id").write.mode(mode).parquet(path)
 
 
+def write_kafka(wrapped: DataFrame, servers: str, topic: str) -> None:
+    """Send keyed records to a Kafka topic; needs the Kafka package of Spark."""
+    (
+        wrapped.select("key", "value")
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .save()
+    )
+
+
 def union_streams(live: DataFrame, replayed: DataFrame) -> DataFrame:
     """Replayed records join the live ones by column name."""
     return live.unionByName(replayed)

@@ -38,6 +38,8 @@ def values(frame, column):
         ('{"a":1}', True), (' {"a":1} ', True), ("1", True), ("null", True), ('{"a":1,"a":2}', True),
         ('{"a":1} x', False), ("{}{}", False), ("", False), ("   ", False), ("1,2", False),
         ("1],[2", False), ("{}]", False), ('{"a":1,}', False), ("not-json", False), ("{", False),
+        (r'{"a":"\ud83d\ude00"}', True), (r'{"a":"\ud83d"}', False), (r'{"a":"\ude00"}', False),
+        (r'{"a":"\\ud83d"}', True), (r'{"a":"\ud83d\ud83d"}', False), (r'{"a":"\u00e9"}', True),
     ],
 )
 def test_only_one_whole_document_parses(spark, text, valid):

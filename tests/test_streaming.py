@@ -1,3 +1,5 @@
+import json
+
 from pyspark.sql import functions as F
 
 from spanflow.plans.export import otlp_rows
@@ -5,6 +7,8 @@ from spanflow.plans.metrics import relay_summary
 from spanflow.plans.partition import wrap_record
 from spanflow.plans.reconcile import reconcile
 from spanflow.sources.stream_records import read_partitioned
+from spanflow.sources.log_batches import read_envelopes
+from spanflow.streaming.partition import partition_stream
 from spanflow.streaming.relay import relay_stream, table_sink, work_dir
 from tests.helpers import CLIENT, DECORATOR, TARGET, arrivals, changed
 
@@ -77,6 +81,20 @@ def test_the_newest_window_stays_open(spark, tmp_path):
     assert spark.read.parquet(f"{out}/spans").count() == 0
 
 
+def test_log_stream_is_partitioned_and_quarantined(spark, tmp_path):
+    logs, out = str(tmp_path / "logs"), str(tmp_path / "out")
+    events = [("e0", 0, json.dumps(CLIENT)), ("e1", 1, "not-json"), ("e2", 2, json.dumps(TARGET))]
+    schema = "log_group string, log_events array<struct<id:string,timestamp:bigint,message:string>>"
+    spark.createDataFrame([("/logs/a", events)], schema).write.json(logs)
+    query = partition_stream(read_envelopes(spark, logs, streaming=True), out, str(tmp_path / "check"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    records = spark.read.parquet(f"{out}/records").orderBy("pos").collect()
+    assert [r.source_event_id for r in records] == ["e0", "e2"]
+    assert json.loads(records[0].value)["record"] == CLIENT
+    assert [r.malformed for r in spark.read.parquet(f"{out}/quarantine").collect()] == ["bad_json"]
+    assert spark.read.parquet(f"{out}/summary").first().malformed_records == 1
+
+
 class Session:
     """Stands for a session of a cluster that names its shared folder, or does not."""
 
