@@ -76,16 +76,21 @@ def parse_message(message: Column) -> Column:
     return let(_stamped(message), lambda pair: _unstamped(pair, message))
 
 
-def with_document(df: DataFrame, text: Column, name: str) -> DataFrame:
-    """Add column ``name``, the parsed ``text``, so that it is parsed only once.
+def once(df: DataFrame, column: Column, name: str) -> DataFrame:
+    """Add a costly column in a way that computes it only once per row.
 
     Filters move down through projections and take a copy of the expressions
-    they test with them, here a whole second parse. They do not move through a
-    generator, so the result passes through an explode of one element.
+    they test with them. They do not move through a generator, so the finished
+    column passes through an explode of one element.
     """
+    computed = df.withColumn("_once", column)
+    return computed.select(*df.columns, F.explode(F.array("_once")).alias(name))
+
+
+def with_document(df: DataFrame, text: Column, name: str) -> DataFrame:
+    """Add column ``name``, the parsed ``text``."""
     parsed = df.withColumn("_pair", _stamped(text))
-    document = F.explode(F.array(_unstamped(F.col("_pair"), text)))
-    return parsed.select(*df.columns, document.alias(name))
+    return once(parsed, _unstamped(F.col("_pair"), text), name).drop("_pair")
 
 
 def field(doc: Column, path: str) -> Column:

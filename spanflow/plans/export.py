@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanflow.functions import otlp
-from spanflow.functions.json import json_quote, strict_array
+from spanflow.functions.json import json_quote, once, strict_array
 
 CONTENT_TYPE = "application/json"
 CARRIED = [
@@ -16,13 +16,10 @@ CARRIED = [
 
 
 def with_raw_fields(spans: DataFrame) -> DataFrame:
-    """Add ``raw``, the scalar fields of the record.
-
-    As in ``with_document`` the explode keeps filters above from repeating the reads.
-    """
+    """Add ``raw``, the scalar fields of the record."""
     fields = otlp.raw_fields(F.col("record"))
     raw = F.struct(*[column.alias(name) for name, column in fields.items()])
-    return spans.select("*", F.explode(F.array(raw)).alias("raw"))
+    return once(spans, raw, "raw")
 
 
 def with_convert_error(spans: DataFrame) -> DataFrame:
