@@ -78,3 +78,34 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             last = min(max(last, first + 1), batch.num_rows)
             yield batch.slice(first, last - first)
             first = last
+
+
+def segments(
+    batches: Iterator[pa.RecordBatch], overlap: int, most: int = SLICE_BYTES // 2, text: str = "text"
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.RecordBatch]]:
+    """Pieces of texts for work on windows: row numbers, bytes, offsets, each piece's
+    place in its text, and the batch. A text longer than ``most`` is cut into pieces of
+    that length plus ``overlap`` bytes, so that memory does not grow with a text."""
+    for batch in batches:
+        raw, at = utf8(batch.column(text))
+        rows, parts, places, size = [], [], [], 0
+
+        def gathered():
+            ends = np.cumsum([0] + [len(p) for p in parts])
+            return np.array(rows, np.int64), np.concatenate(parts), ends, np.array(places, np.int64), batch  # noqa: B023
+
+        for i in range(batch.num_rows):
+            own = raw[at[i] : at[i + 1]]
+            for place in range(0, max(len(own), 1), most):
+                if place and place + overlap >= len(own):
+                    break
+                piece = own[place : place + most + overlap]
+                if size and size + len(piece) > most:
+                    yield gathered()
+                    rows, parts, places, size = [], [], [], 0
+                rows.append(i)
+                parts.append(piece)
+                places.append(place)
+                size += len(piece)
+        if rows:
+            yield gathered()

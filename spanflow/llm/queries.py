@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanflow.llm import gam, superminhash
+from spanflow.llm import gam, suffix_buckets, superminhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +26,15 @@ def op6_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gam.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_buckets.without_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_superminhash": op3_superminhash,
     "op6_additive_quality": op6_additive_quality,
+    "op8_suffix_buckets": op8_suffix_buckets,
 }
 
 ORACLES: dict[str, str] = {}
