@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanflow.llm import gam, suffix_buckets, superminhash
+from spanflow.llm import gam, packing, positional_index, suffix_buckets, superminhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,16 @@ def op3_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_least_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op6_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gam.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,10 +41,21 @@ def op8_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = positional_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_superminhash": op3_superminhash,
+    "op5_least_squares_packing": op5_least_squares_packing,
     "op6_additive_quality": op6_additive_quality,
     "op8_suffix_buckets": op8_suffix_buckets,
+    "op9_positional_index": op9_positional_index,
 }
 
 ORACLES: dict[str, str] = {}
