@@ -91,17 +91,19 @@ def text_features(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def feature_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``features`` of every whole text."""
+    """``doc_id``, ``key_text`` (xxhash64 of the text) and ``features`` of every whole text."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             values = text_features(*utf8(batch.column("text")))
             lists = pa.FixedSizeListArray.from_arrays(pa.array(values.reshape(-1)), len(FEATURES))
             yield pa.record_batch(
-                [batch.column("doc_id"), lists.cast(pa.list_(pa.float64()))], names=["doc_id", "features"]
+                [batch.column("doc_id"), batch.column("key_text"), lists.cast(pa.list_(pa.float64()))],
+                names=["doc_id", "key_text", "features"],
             )
 
-    return docs.mapInArrow(compute, "doc_id bigint, features array<double>")
+    keyed = docs.withColumn("key_text", F.xxhash64("text"))
+    return keyed.mapInArrow(compute, "doc_id bigint, key_text bigint, features array<double>")
 
 
 class AdditiveModel:
@@ -227,7 +229,7 @@ def quality_scores(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
     threshold: float = 0.3, fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row of ``docs``.
+    """``doc_id, key_text, held_out, score, predicted`` for every row of ``docs``.
 
     A null or empty text scores as a text without words. A null id is not held out and
     never labelled. Without usable labels every score is 0.5.
@@ -238,10 +240,13 @@ def quality_scores(
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
-            yield pa.record_batch([batch.column("doc_id"), pa.array(model.score(x))], names=["doc_id", "score"])
+            yield pa.record_batch(
+                [batch.column("doc_id"), batch.column("key_text"), pa.array(model.score(x))],
+                names=["doc_id", "key_text", "score"],
+            )
 
-    scored = features.mapInArrow(apply, "doc_id bigint, score double")
+    scored = features.mapInArrow(apply, "doc_id bigint, key_text bigint, score double")
     return scored.select(
-        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+        "doc_id", "key_text", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )

@@ -33,7 +33,8 @@ def op5_least_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gam.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scores = gam.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.drop("key_text")
 
 
 def op8_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:

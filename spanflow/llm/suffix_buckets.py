@@ -229,6 +229,19 @@ def repeated_spans(keyed: DataFrame, length: int = 400, gram: int = GRAM, block:
     )
 
 
+def spans_of_texts(keyed: DataFrame, length: int = 400, gram: int = GRAM, block: int = BLOCK) -> DataFrame:
+    """``key_id, key_text, spans`` of the texts that have repeated spans."""
+    spans = repeated_spans(keyed, length, gram, block)
+    return spans.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+
+
+def _covered(size: int, spans: list[dict]) -> np.ndarray:
+    edges = np.zeros(size + 1, np.int32)
+    np.add.at(edges, [s["start"] for s in spans], 1)
+    np.add.at(edges, [s["end"] for s in spans], -1)
+    return np.cumsum(edges)[:-1] > 0
+
+
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, at = utf8(batch.column("text"))
@@ -236,17 +249,9 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         removed, runs, kept = [], [], []
         for i, found in enumerate(spans):
             own = raw[at[i] : at[i + 1]]
-            if not found:
-                removed.append(0)
-                runs.append(0)
-                kept.append(own.tobytes())
-                continue
-            edges = np.zeros(len(own) + 1, np.int32)
-            np.add.at(edges, [s["start"] for s in found], 1)
-            np.add.at(edges, [s["end"] for s in found], -1)
-            covered = np.cumsum(edges)[:-1] > 0
+            covered = _covered(len(own), found) if found else np.zeros(len(own), bool)
             removed.append(int(covered.sum()))
-            runs.append(int(covered[0]) + int((covered[1:] & ~covered[:-1]).sum()))
+            runs.append(int((np.diff(covered.astype(np.int8), prepend=0) == 1).sum()))
             kept.append(own[~covered].tobytes())
         yield pa.record_batch(
             [batch.column("doc_id"), batch.column("key_text"), pa.array(np.diff(at)), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())],
@@ -254,6 +259,16 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def cut_text(text: pa.Array, spans: pa.Array) -> pa.Array:
+    """Texts less their spans, for ``arrow_udf``; a character that is cut in two goes whole."""
+    raw, at = utf8(text)
+    left = [
+        raw[at[i] : at[i + 1]][~_covered(int(at[i + 1] - at[i]), found or [])].tobytes().decode(errors="ignore")
+        for i, found in enumerate(spans.to_pylist())
+    ]
+    return pa.array(left, pa.string())
+
+
 def without_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400,
     gram: int = GRAM, block: int = BLOCK,
@@ -262,8 +277,7 @@ def without_repeats(
     the bytes left when those are removed that a string of ``length`` bytes covers which
     also starts elsewhere. ``key_text`` is xxhash64 of the text."""
     keyed = with_key(text_rows(docs, doc_id, text))
-    spans = repeated_spans(keyed, length, gram, block)
-    by_text = spans.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    by_text = spans_of_texts(keyed, length, gram, block)
     return keyed.join(by_text, KEY, "left").select("doc_id", "key_text", "text", "spans").mapInArrow(
         _cut_out, "doc_id bigint, key_text bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
     )
