@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanflow.llm import gam, packing, positional_index, suffix_buckets, superminhash
+from spanflow.llm import gam, packing, positional_index, suffix_buckets, suffix_trees, superminhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,12 +51,18 @@ def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_trees.without_repeated_windows(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_superminhash": op3_superminhash,
     "op5_least_squares_packing": op5_least_squares_packing,
     "op6_additive_quality": op6_additive_quality,
     "op8_suffix_buckets": op8_suffix_buckets,
     "op9_positional_index": op9_positional_index,
+    "op10_suffix_trees": op10_suffix_trees,
 }
 
 ORACLES: dict[str, str] = {}
