@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanflow.llm import gam, packing, positional_index, suffix_buckets, suffix_trees, superminhash
+from spanflow.llm import gam, packing, positional_index, suffix_buckets, suffix_trees, superminhash, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op6_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.drop("key_text")
 
 
+def op7_resynchronised_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return token_counts.with_limit(counts)
+
+
 def op8_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffix_buckets.without_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_superminhash": op3_superminhash,
     "op5_least_squares_packing": op5_least_squares_packing,
     "op6_additive_quality": op6_additive_quality,
+    "op7_resynchronised_counts": op7_resynchronised_counts,
     "op8_suffix_buckets": op8_suffix_buckets,
     "op9_positional_index": op9_positional_index,
     "op10_suffix_trees": op10_suffix_trees,
