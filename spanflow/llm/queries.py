@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanflow.llm import gam, packing, positional_index, suffix_buckets, suffix_trees, superminhash, token_counts
+from spanflow.llm import byte_cnn, gam, packing, positional_index, suffix_buckets, suffix_trees, superminhash, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_cnn.languages(table(spark, sf_dir, "documents"))
+
+
 def tokenizer(name: str) -> str:
     import public_tokenizers
 
@@ -63,6 +67,7 @@ def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_superminhash": op3_superminhash,
+    "op4_byte_cnn": op4_byte_cnn,
     "op5_least_squares_packing": op5_least_squares_packing,
     "op6_additive_quality": op6_additive_quality,
     "op7_resynchronised_counts": op7_resynchronised_counts,
