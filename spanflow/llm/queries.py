@@ -10,13 +10,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanflow.llm import byte_cnn, gam, packing, positional_index, suffix_buckets, suffix_trees, superminhash, token_counts
+from spanflow.llm import byte_cnn, gam, nn_descent, packing, positional_index, suffix_buckets, suffix_trees, superminhash, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_neighbour_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = nn_descent.linked_vectors(table(spark, sf_dir, "embeddings"))
+    return links.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op3_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = superminhash.near_duplicate_groups(table(spark, sf_dir, "documents"), width=4)
     return groups.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -66,6 +71,7 @@ def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_neighbour_descent": op2_neighbour_descent,
     "op3_superminhash": op3_superminhash,
     "op4_byte_cnn": op4_byte_cnn,
     "op5_least_squares_packing": op5_least_squares_packing,
