@@ -7,11 +7,14 @@ and once every slot of a document holds less than ``j`` no later rank can matter
 drawing stops early.
 
 Documents with equal shingle sets form a class, and one representative goes on. In a
-band's bucket the least representative is compared with all others; links join
-components; where a bucket still holds several components, members outside the
-least one's are compared with every member of other components. So each pair
-that shares a bucket is either verified or already connected, and a group of
-copies costs links in proportion to its size.
+band's bucket one member, that which meets most others in all its buckets, is the
+center and is compared with all others; links join components. Where a bucket still
+holds several components, its documents are contested: those outside a center's
+component are looked up by their rarest shingles among all contested documents. A
+similar pair must share one of these, at places early enough to leave room for the
+overlap needed (the prefix and positional filters of set joins, which are exact). So
+each pair that shares a bucket is verified, ruled out or already connected, and a
+group of copies costs links in proportion to its size.
 
 Nulls, empty texts and texts without words have no shingles and link with nothing.
 Fewer words than a shingle make one shingle. Rows that repeat a doc_id share that
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanflow.llm import bytework
@@ -130,22 +133,60 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
         for batch in slices(slices(batches, "text_high"), "text_low"):
             a, at_a = shingle_sets(*utf8(batch.column("text_low")), width)
             b, at_b = shingle_sets(*utf8(batch.column("text_high")), width)
-            good = []
+            shared, union = np.zeros(batch.num_rows, np.int64), np.ones(batch.num_rows, np.int64)
             for i in range(batch.num_rows):
                 x, y = a[at_a[i] : at_a[i + 1]], b[at_b[i] : at_b[i + 1]]
-                where = np.searchsorted(y, x)
-                where[where == len(y)] = 0
-                both = int((y[where] == x).sum()) if len(y) and len(x) else 0
-                good.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+                if len(x) and len(y):
+                    where = np.searchsorted(y, x)
+                    where[where == len(y)] = 0
+                    shared[i] = (y[where] == x).sum()
+                    union[i] = len(x) + len(y) - shared[i]
+            good = (shared > 0) & (100 * shared >= percent * union)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("low"), batch.column("high")], names=["low", "high"]
-            ).filter(pa.array(good, pa.bool_()))
+            ).filter(pa.array(good))
 
     first = pairs.join(texts.select(F.col("doc_id").alias("low"), F.col("text").alias("text_low")), "low")
     both = first.join(texts.select(F.col("doc_id").alias("high"), F.col("text").alias("text_high")), "high")
     return both.select("low", "high", "text_low", "text_high").mapInArrow(confirm, "low bigint, high bigint")
 
 
+def _contested_pairs(contested: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs of contested documents of different components that may be similar.
+
+    ``contested`` has ``rep, group, outside``; at least one of a pair is outside.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            elements, at = shingle_sets(*utf8(batch.column("text")), width)
+            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), _signed(elements))
+            yield pa.record_batch([batch.column("doc_id"), lists], names=["rep", "shingles"])
+
+    wanted = texts.join(contested.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    sets = wanted.select("doc_id", "text").mapInArrow(listed, "rep bigint, shingles array<bigint>")
+    held = sets.select("rep", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    held = stage(held, "contested")
+    often = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("often", "shingle"))
+    needed = F.ceil(F.col("size") * percent / 100)
+    prefixes = (
+        held.join(often, "shingle").withColumn("place", place)
+        .where((F.col("place") <= F.col("size") - needed + 1) & (F.col("often") > 1))
+        .join(contested, "rep").select("shingle", "rep", "group", "outside", "size", "place")
+    )
+    prefixes = stage(prefixes, "prefixes")
+    x, y = (prefixes.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in prefixes.columns[1:])) for side in "xy")
+    room = 1 + F.least(F.col("size_x") - F.col("place_x"), F.col("size_y") - F.col("place_y"))
+    fits = (room * (100 + percent) >= percent * (F.col("size_x") + F.col("size_y"))) & (
+        100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y")
+    )
+    met = x.where("outside_x").join(y, "shingle").where(
+        fits & (F.col("group_x") != F.col("group_y")) & (~F.col("outside_y") | (F.col("rep_x") < F.col("rep_y")))
+    )
+    return met.select(F.least("rep_x", "rep_y").alias("low"), F.greatest("rep_x", "rep_y").alias("high")).distinct()
+
+
 def near_duplicate_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -164,11 +205,16 @@ def near_duplicate_groups(
     buckets = stage(
         members.where("doc_id = rep").select(F.explode("bands").alias("bucket"), "rep").distinct(), "bands"
     )
-    least = buckets.groupBy("bucket").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stage(buckets.join(least.drop("n"), "bucket"), "shared")
-    pairs = stage(
-        shared.where("rep > least").select(F.col("least").alias("low"), F.col("rep").alias("high")).distinct(), "pairs"
-    )
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stage(buckets.join(sizes, "bucket"), "shared")
+    met = shared.groupBy("rep").agg(F.sum("n").alias("met"))
+    centers = shared.join(met, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("met", "rep")).alias("center"))
+    shared = stage(shared.join(centers, "bucket").select("bucket", "rep", "center"), "centered")
+
+    def pair(x: str, y: str) -> list:
+        return [F.least(x, y).alias("low"), F.greatest(x, y).alias("high")]
+
+    pairs = shared.where("rep != center").select(*pair("rep", "center")).distinct()
     needed = shared.select(F.col("rep").alias("doc_id")).distinct()
     texts = stage(rows.join(needed, "doc_id").dropDuplicates(["doc_id", "text"]), "texts")
     links = stage(_verified(pairs, texts, width, percent), "links")
@@ -179,22 +225,19 @@ def near_duplicate_groups(
         own = groups.select(F.col("id").alias(of), F.col("component").alias("_c"))
         return found.join(own, of, "left").withColumn(name, F.coalesce("_c", of)).drop("_c")
 
-    # Buckets that still hold more than one component: the minority against all others.
-    open_rows = grouped(grouped(shared, "rep", "group"), "least", "main")
-    outside = open_rows.where("group != main")
-    everyone = open_rows.join(outside.select("bucket").distinct(), "bucket", "left_semi")
-    rest = (
-        outside.select("bucket", F.col("rep").alias("x"), F.col("group").alias("gx"), F.col("least").alias("l"))
-        .join(everyone.select("bucket", F.col("rep").alias("y"), F.col("group").alias("gy")), "bucket")
-        .where("gx != gy and y != l")
-        .select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"))
-        .distinct()
-        .join(pairs, ["low", "high"], "left_anti")
+    # Buckets that still hold more than one component.
+    placed = grouped(grouped(shared, "rep", "group"), "center", "main")
+    several = placed.where("group != main").select("bucket").distinct()
+    contested = stage(
+        placed.join(several, "bucket", "left_semi").groupBy("rep", "group")
+        .agg(F.max(F.col("group") != F.col("main")).alias("outside")),
+        "open",
     )
-    more = stage(_verified(rest, texts, width, percent), "more_links")
-    # A repeated id with two sets joins their classes.
-    several = members.where("doc_id != rep").select(F.col("rep").alias("low"), F.col("doc_id").alias("high"))
-    groups = connected_components(links.union(more).union(several))
+    rest = _contested_pairs(contested, texts, width, percent).join(pairs, ["low", "high"], "left_anti")
+    more = stage(_verified(rest, texts, width, percent), "more")
+    # All members of a class; a repeated id with two sets joins their classes.
+    copies = members.where("doc_id != rep").select(F.col("rep").alias("low"), F.col("doc_id").alias("high"))
+    groups = connected_components(links.union(more).union(copies))
     return grouped(
         drawn.select("doc_id", "n_shingles"), "doc_id", "component_id"
     ).select("doc_id", "n_shingles", "component_id")
