@@ -267,9 +267,6 @@ STEPS["led"] = (
 )
 ROW = "batch_id, chunk_index, position"
 
-# The watermark is the newest arrival among good records.
-CLOSED = "window_s + 60 <= (select max(arrival_s) from rec)"
-
 SUMMARY = (
     "select d.window_s as window_start, r.n - d.n as deduped_source_events, d.traces as aggregated_traces,"
     " coalesce(e.n, 0) as emitted_spans, coalesce(e.traces, 0) as emitted_trace_ids,"
@@ -456,8 +453,9 @@ ORACLES: dict[str, str] = {
     "otlp_payloads": sql(
         "emit",
         select=(
-            "select window_s, source_log_group as source, count(*) as spans,"
-            f" 'application/json' as content_type from emit where ({ERROR}) is null group by 1, 2"
+            "select window_s, source, least(4, n - 4 * i) as spans, content_type from ("
+            "select window_s, source_log_group as source, count(*) as n, 'application/json' as content_type,"
+            f" unnest(range(cast(ceil(count(*) / 4) as bigint))) as i from emit where ({ERROR}) is null group by 1, 2)"
         ),
     ),
     "otlp_payload_fields": sql(
@@ -531,8 +529,23 @@ ORACLES: dict[str, str] = {
     "relay_summary": sql("rec", "ded", "best", "emit", "pend", select=SUMMARY),
     "stream_windows": sql(
         "rec", "ded", "best", "emit", "pend",
-        select=f"select * from ({SUMMARY}) where {CLOSED.replace('window_s', 'window_start')}",
+        select=SUMMARY,
+    ),
+    "record_balance": sql(
+        "rec", "ded", "best", "emit",
+        select=(
+            "select *, records - duplicates - decorators - skipped - replaced - emitted - conversion_errors - unplaced as residual from ("
+            "select d.window_s as window_start, r.n as records, r.n - d.n as duplicates, d.decorators, d.skipped,"
+            " d.targets - coalesce(b.n, 0) as replaced, coalesce(e.good, 0) as emitted, coalesce(e.bad, 0) as conversion_errors, 0 as unplaced from"
+            " (select window_s, count(*) as n, count(*) filter (role = 'decorator') as decorators, count(*) filter (role = 'target') as targets,"
+            " count(*) filter (role not in ('decorator', 'target', 'ordinary')) as skipped from ded group by 1) d"
+            " join (select window_s, count(*) as n from rec group by 1) r using (window_s)"
+            " left join (select window_s, count(*) as n from best group by 1) b using (window_s)"
+            f" left join (select window_s, count(*) filter (({ERROR}) is null) as good, count(*) filter (({ERROR}) is not null) as bad"
+            " from emit group by 1) e using (window_s))"
+        ),
     ),
+    "two_stage_spans": sql("emit", select="select window_s, trace_id, is_target, source_event_id from emit"),
     "publish_ledger": sql("led", select="select * from led"),
     "publish_summary": sql(
         "led",
@@ -606,7 +619,7 @@ ORACLES: dict[str, str] = {
         "emit", "final_link", "rec",
         select=(
             f"select e.window_s, e.trace_id, e.is_target, {EVENT}, coalesce(l.links, '') as links from"
-            f" (select * from emit where {CLOSED}) e left join"
+            " emit e left join"
             f" (select {EVENT}, b.window_s, true as is_target, string_agg(f.t || ':' || f.s || ':' ||"
             " json_extract_string(f.link, '$.flags'), ',' order by f.pos) as links"
             " from best b join final_link f using (window_s, trace_id, link_span_id) group by all"

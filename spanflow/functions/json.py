@@ -16,6 +16,11 @@ U32_MODULUS = 4294967296
 I64_MAX = "9223372036854775807"
 U64_MAX = "18446744073709551615"
 U64 = "decimal(20,0)"
+# Fixed value: levels of nesting that a message may have.
+MAX_DEPTH = 127
+# Brackets that a record may open without any value standing deep.
+FLAT_DEPTH = 3
+DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 _HIGH, _LOW = r"\\u[dD][89abAB][0-9a-fA-F]{2}", r"\\u[dD][c-fC-F][0-9a-fA-F]{2}"
 # After an even number of backslashes: a high half without a low one, or the reverse.
@@ -30,7 +35,7 @@ def configure(spark: SparkSession) -> SparkSession:
     bytes the JVM agrees to optimise; with the limit set there, Spark splits
     such stages into small methods, which run several times faster.
     """
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    spark.conf.set(DUPLICATE_KEYS, "true")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
@@ -44,11 +49,33 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _opened(message: Column) -> Column:
+    return F.length(message) - F.length(F.translate(message, "[{", ""))
+
+
+def _exact_fractions(message: Column) -> Column:
+    """The text with numbers such as 1.0 and -0 spelled with an exponent.
+
+    Parsed as they are, they become decimals and integers that print as 1 and 0; with an
+    exponent they stay doubles. It matters where values are printed: below the levels
+    that ``otlp.any_value`` unfolds, and for -0 everywhere. Strings are left alone.
+    """
+    parts = F.regexp_extract_all(message, F.lit(r'"(?:\\.|[^"\\])*+"|[^"]+|"'), F.lit(0))
+    spelled = F.transform(
+        parts,
+        lambda t: F.when(t.startswith('"'), t).otherwise(
+            F.regexp_replace(t, r"(?<![0-9.eE+-])(-?[0-9]+\.0+|-0)(?![0-9.eE])", "$1E0")
+        ),
+    )
+    fraction = message.rlike(r"[0-9]\.0+[,\]}\s]") & (_opened(message) > FLAT_DEPTH)
+    return F.when(fraction | message.rlike(r"-0[,\]}\s]"), F.array_join(spelled, "")).otherwise(message)
+
+
 def _stamped(message: Column) -> Column:
     """The text parsed as the first of two elements, its own hash as the second."""
     stamp = F.xxhash64(message).cast("string")
     return F.try_parse_json(
-        F.concat(F.lit("["), message, F.lit(","), stamp, F.lit("]"))
+        F.concat(F.lit("["), _exact_fractions(message), F.lit(","), stamp, F.lit("]"))
     )
 
 
@@ -58,10 +85,33 @@ def _lone_surrogate(message: Column) -> Column:
     return suspect & message.rlike(LONE_SURROGATE)
 
 
+def _beyond_limits(message: Column) -> Column:
+    """Whether a number is beyond the double range, or nesting deeper than 127 levels.
+
+    Cheap tests on the raw text pick suspects; only these lose their strings and are
+    looked at number by number and bracket by bracket.
+    """
+    bare = F.regexp_replace(message, r'"(?:\\.|[^"\\])*+"', "")
+    numbers = F.regexp_extract_all(bare, F.lit(r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"), F.lit(0))
+    too_large = message.rlike(r"[eE]\+?0*[1-9][0-9]{2}|[0-9]{309}") & F.exists(
+        numbers, lambda n: F.abs(n.try_cast("double")) == float("inf")
+    )
+    steps = F.transform(
+        F.regexp_extract_all(bare, F.lit(r"[\[\]{}]"), F.lit(0)), lambda b: F.when(b.isin("[", "{"), 1).otherwise(-1)
+    )
+    deepest = F.aggregate(
+        steps, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda s, x: F.struct((s["now"] + x).alias("now"), F.greatest(s["most"], s["now"] + x).alias("most")),
+        lambda s: s["most"],
+    )
+    return too_large | ((_opened(message) > MAX_DEPTH) & (deepest > MAX_DEPTH))
+
+
 def _unstamped(pair: Column, message: Column) -> Column:
     whole = F.try_variant_get(pair, "$[1]", "bigint") == F.xxhash64(message)
     return F.when(
-        whole & ~_lone_surrogate(message), F.try_variant_get(pair, "$[0]", "variant")
+        whole & ~_lone_surrogate(message) & ~_beyond_limits(message),
+        F.try_variant_get(pair, "$[0]", "variant"),
     )
 
 
@@ -88,7 +138,12 @@ def once(df: DataFrame, column: Column, name: str) -> DataFrame:
 
 
 def with_document(df: DataFrame, text: Column, name: str) -> DataFrame:
-    """Add column ``name``, the parsed ``text``."""
+    """Add column ``name``, the parsed ``text``.
+
+    Fails in a session without ``configure``, which would take a repeated key for bad JSON.
+    """
+    if df.sparkSession.conf.get(DUPLICATE_KEYS, "false") != "true":
+        raise RuntimeError(f"call spanflow.configure(spark) first: {DUPLICATE_KEYS} is not set")
     parsed = df.withColumn("_pair", _stamped(text))
     return once(parsed, _unstamped(F.col("_pair"), text), name).drop("_pair")
 

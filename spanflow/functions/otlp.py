@@ -236,17 +236,13 @@ def any_value(value: Column, depth: int = NESTING) -> Column:
     return let(type_name(value), convert)
 
 
-def _entries(mapping: Column) -> Column:
-    return F.map_entries(mapping)
-
-
 ATTRIBUTES = "array<struct<key:string,value:string>>"
 
 
 def convert_attributes(doc: Column, path: str) -> Column:
     """Object at ``path`` to key-sorted ``key`` and OTLP value text; else empty."""
     entries = F.transform(
-        _entries(strict_object(doc, path)),
+        F.map_entries(strict_object(doc, path)),
         lambda e: F.struct(e["key"].alias("key"), any_value(e["value"]).alias("value")),
     )
     return F.coalesce(F.sort_array(entries), F.array().cast(ATTRIBUTES))

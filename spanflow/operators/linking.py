@@ -63,13 +63,11 @@ def _shape(record: bool, key: bool, richness: bool, links: bool) -> Column:
     Each role has its own pattern. Testing the whole pattern, not just the role,
     makes all three branches read the same columns, so Spark shuffles the
     deduplicated events once and reuses that exchange for every branch. The first
-    three tests always hold and are there for the same reason.
+    three tests hold for every record that has a window and are there for the same reason.
     """
-    test = (
-        F.col("window_start").isNotNull()
-        & (F.length("trace_id") >= 0)
-        & (F.length("source_log_group") >= 0)
-    )
+    test = F.col("window_start").isNotNull()
+    for name in ["trace_id", "source_log_group"]:
+        test &= F.length(F.coalesce(F.col(name), F.lit(""))) >= 0
     for name, filled in [
         ("record", record),
         ("link_span_id", key),

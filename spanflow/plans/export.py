@@ -106,7 +106,8 @@ def scope_json() -> Column:
 def otlp_json(rows: DataFrame) -> DataFrame:
     """Add the three texts a payload is made of."""
     return rows.select(
-        "window_start", "trace_id", "source", "arrival_ts", "arrival_seq", "source_event_id",
+        "window_start", "trace_id", "is_target", "link_span_id", "source", "arrival_ts", "arrival_seq",
+        "source_event_id",
         resource_json().alias("resource"),
         scope_json().alias("scope"),
         span_json().alias("span"),
@@ -132,58 +133,48 @@ def _payload_columns(payload: Column) -> list[Column]:
 
 
 MAX_PAYLOAD_SPANS = 512
-# A window and source with more than one part in this many of all spans is hot.
-HOT_SHARE = 10_000
-
-
-def hot_groups(
-    texts: DataFrame, max_spans: int = MAX_PAYLOAD_SPANS, share: int = HOT_SHARE
-) -> DataFrame:
-    """Windows and sources that hold more than 1/``share`` of all spans.
-
-    There are fewer than ``share`` of them whatever the data, which is what
-    makes the broadcast in ``compact_payloads`` safe. A group that fits one
-    payload is never hot.
-    """
-    counts = texts.groupBy("window_start", "source").agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    parts = F.ceil(F.least(F.col("_n") * share / total, F.col("_n") / max_spans))
-    return (
-        counts.where((F.col("_n") > max_spans) & (F.col("_n") * share > total))
-        .withColumn("_parts", parts.cast("bigint"))
-        .drop("_n")
-    )
+# Slices that the spans of a window and source are ranked in.
+PAYLOAD_SLICES = 64
 
 
 def compact_payloads(
-    texts: DataFrame, max_spans: int = MAX_PAYLOAD_SPANS, share: int = HOT_SHARE
+    texts: DataFrame, max_spans: int = MAX_PAYLOAD_SPANS, slices: int = PAYLOAD_SLICES
 ) -> DataFrame:
-    """Spans of a window and source packed into payloads of up to ``max_spans``.
+    """Spans of a window and source packed into payloads of ``max_spans``, the last one aside.
 
-    Inside a payload spans stand under their resource and scope. A hot window or
-    source is dealt out over parts before anything is ranked or gathered.
+    Inside a payload spans stand under their resource and scope, in emission order.
+    Spans are numbered inside fixed slices, and the counts of the slices before give
+    the offset, so no task ranks a whole group, and which spans share a payload depends
+    on their window and source alone.
     """
-    group = ["window_start", "source", "_part"]
-    spread = texts.join(
-        F.broadcast(hot_groups(texts, max_spans, share)), ["window_start", "source"], "left"
-    ).withColumn(
-        "_part",
-        F.pmod(
-            F.xxhash64("source_event_id", "arrival_seq"), F.coalesce("_parts", F.lit(1))
-        ),
+    group = ["window_start", "source"]
+    spread = texts.withColumn(
+        "_slice", F.pmod(F.xxhash64("source_event_id", "arrival_seq"), F.lit(slices))
+    )
+    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        spread.groupBy(*group, "_slice")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .drop("_n")
     )
-    rank = F.row_number().over(
-        Window.partitionBy(*group).orderBy("resource", "scope", "trace_id", "arrival_seq")
+    emission = ["trace_id", "is_target", "_target", "arrival_ts", "arrival_seq"]
+    spread = spread.withColumn("_target", F.when(F.col("is_target"), F.col("link_span_id")))
+    rank = F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*emission, "source_event_id"))
+    number = F.col("_offset") + F.col("_rank") - 1
+    numbered = (
+        spread.withColumn("_rank", rank)
+        .join(offsets, [*group, "_slice"])
+        .withColumn("_chunk", F.floor(number / max_spans))
     )
     chunk = [*group, "_chunk"]
-    spans = F.sort_array(F.collect_list(F.struct("trace_id", "arrival_seq", "span")))
+    spans = F.sort_array(F.collect_list(F.struct(*emission, "span")))
 
     def texts_of(column: str, name: str) -> Column:
-        return F.array_join(F.transform(F.sort_array(F.collect_list(column)), lambda t: t), ",").alias(name)
+        return F.array_join(F.sort_array(F.collect_list(column)), ",").alias(name)
 
     scopes = (
-        spread.withColumn("_chunk", F.floor((rank - 1) / max_spans))
-        .groupBy(*chunk, "resource", "scope")
+        numbered.groupBy(*chunk, "resource", "scope")
         .agg(
             F.count(F.lit(1)).alias("spans"),
             F.concat(

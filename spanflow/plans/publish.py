@@ -7,16 +7,23 @@ by ``batch_id, chunk_index, position``, since event ids may repeat.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import xor
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanflow.functions.json import with_document
+from spanflow.functions.json import field, strict_str, with_document
 from spanflow.functions.retry import (
+    BASE_BACKOFF_MS,
     COUNT_MISMATCH,
+    JITTER_MS,
     MAX_ATTEMPTS,
+    MAX_BACKOFF_DOUBLINGS,
+    MAX_BACKOFF_MS,
     RETRY_FLOOR_MS,
     RETRYABLE_CODES,
     base_backoff_ms,
@@ -80,6 +87,7 @@ def publish_with_retry(
     put: Callable[[pd.DataFrame, int], pd.DataFrame],
     budget_ms: Callable[[], float] = lambda: float("inf"),
     pause: Callable[[float], None] | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Send every chunk through ``put`` and return the ledger.
 
@@ -88,7 +96,10 @@ def publish_with_retry(
     ``retryable`` if it knows better. A call that raises fails all its rows with
     the exception's name as code, and so does a wrong number of rows.
 
-    A chunk has a bounded number of rows and is one group. A lost task repeats
+    ``put`` sees the position, the event id and ``columns``; by default all of them
+    but the parsed record. A chunk has a bounded number of rows and is one group.
+    Before another attempt ``pause`` gets the seconds to wait, with a jitter that
+    follows from the ids to send again. A lost task repeats
     its calls, so ``put`` must accept a record twice; write the ledger out
     before reading it for routing.
     """
@@ -102,7 +113,7 @@ def publish_with_retry(
                 {"error_code": [code] * len(pending), "error_message": str(error)}
             )
         if len(answer) != len(pending):
-            message = f"{len(answer)} result entries for {len(pending)} records"
+            message = f"sent {len(pending)} records, answers: {len(answer)}"
             answer = pd.DataFrame(
                 {
                     "error_code": [COUNT_MISMATCH] * len(pending),
@@ -138,10 +149,14 @@ def publish_with_retry(
             if pending.empty:
                 break
             if pause is not None:
-                pause(min(200 * 2 ** min(attempt - 1, 4), 2000) / 1000)
+                base = min(BASE_BACKOFF_MS * 2 ** min(attempt - 1, MAX_BACKOFF_DOUBLINGS), MAX_BACKOFF_MS)
+                jitter = reduce(xor, (zlib.crc32(i.encode()) for i in pending["source_event_id"]), 0) % JITTER_MS
+                pause((base + jitter) / 1000)
         return pd.concat(done, ignore_index=True)
 
-    return requests.groupBy(*CHUNK).applyInPandas(publish_chunk, LEDGER)
+    wanted = columns if columns is not None else [c for c in requests.columns if c != "record"]
+    needed = list(dict.fromkeys([*ROW, "source_event_id", *wanted]))
+    return requests.select(*needed).groupBy(*CHUNK).applyInPandas(publish_chunk, LEDGER)
 
 
 def response_zip_join(requests: DataFrame, responses: DataFrame) -> DataFrame:
@@ -157,8 +172,8 @@ def response_zip_join(requests: DataFrame, responses: DataFrame) -> DataFrame:
     )
     wrong = F.col("_sent") != F.col("_got")
     message = F.concat(
-        F.col("_got").cast("string"), F.lit(" result entries for "),
-        F.col("_sent").cast("string"), F.lit(" records"),
+        F.lit("sent "), F.col("_sent").cast("string"),
+        F.lit(" records, answers: "), F.col("_got").cast("string"),
     )
     return (
         requests.join(responses.select(*ROW, "error_code", "error_message"), ROW, "left")
@@ -287,14 +302,66 @@ def chunk_failures(letters: DataFrame, size: int = DEAD_LETTER_CHUNK) -> DataFra
     )
 
 
+def dead_letter_json(letters: DataFrame) -> DataFrame:
+    """Add ``value``, the envelope as JSON; the record is spliced in as it came."""
+    names = [c for c in letters.columns if c not in (*ROW, "record", "send_index")]
+    rest = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    record = F.coalesce("record", F.lit("null"))
+    return letters.withColumn("value", F.concat(F.lit('{"record":'), record, F.lit(","), F.substr(rest, F.lit(2))))
+
+
 def write_dead_letters(letters: DataFrame, path: str) -> None:
-    """Append envelopes as JSON lines; a failed write fails the job."""
-    letters.drop(*ROW).write.mode("append").json(path)
+    """Append envelopes as lines of JSON; a failed write fails the job."""
+    dead_letter_json(letters).select("value").write.mode("append").text(path)
+
+
+def send_dead_letters(letters: DataFrame, send: Callable[[list[str]], int]) -> DataFrame:
+    """Call ``send`` with the envelopes of each group of ``chunk_failures``.
+
+    It returns how many of them failed; a call that raises fails all. The result has a
+    row for each group, with ``sent`` and ``failed``. Write it out, then call
+    ``require_sent`` on it.
+    """
+    grouped = dead_letter_json(letters).groupBy(*CHUNK, "send_index").agg(
+        F.array_sort(F.collect_list(F.struct("attempt_count", "position", "value"))).alias("found")
+    ).select(*CHUNK, "send_index", F.transform("found", lambda x: x["value"]).alias("values"))
+
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            failed = []
+            for values in batch["values"]:
+                try:
+                    failed.append(int(send(list(values))))
+                except Exception:  # noqa: BLE001
+                    failed.append(len(values))
+            sizes = batch["values"].map(len)
+            yield batch[[*CHUNK, "send_index"]].assign(sent=sizes - failed, failed=failed)
+
+    schema = grouped.drop("values").schema.add("sent", "long").add("failed", "long")
+    return grouped.mapInPandas(call, schema)
+
+
+def require_sent(results: DataFrame) -> int:
+    """The number of dead letters sent; fails the job if any was not."""
+    row = results.agg(F.coalesce(F.sum("sent"), F.lit(0)).alias("sent"), F.coalesce(F.sum("failed"), F.lit(0)).alias("failed")).first()
+    if row.failed:
+        raise RuntimeError(f"{row.failed} of {row.sent + row.failed} dead letters could not be sent")
+    return row.sent
+
+
+def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that ``write_dead_letters`` wrote, ``value`` each."""
+    return spark.read.text(path)
 
 
 def replay_dead_letters(letters: DataFrame) -> DataFrame:
-    """Envelopes back to keyed records, ready to join the live ones."""
-    named = letters.select(
-        "source_log_group", "source_event_id", "trace_id", F.col("record").alias("message")
+    """Envelopes (``value``) back to keyed records, ready to join the live ones."""
+    doc = F.col("_letter")
+    record = F.when(field(doc, "$.record").isNotNull(), field(doc, "$.record"))
+    return with_document(letters.select("value"), F.col("value"), "_letter").select(
+        strict_str(doc, "$.source_log_group").alias("source_log_group"),
+        strict_str(doc, "$.source_event_id").alias("source_event_id"),
+        strict_str(doc, "$.trace_id").alias("trace_id"),
+        F.to_json(record).alias("message"),
+        record.alias("record"),
     )
-    return with_document(named, F.col("message"), "record")

@@ -46,18 +46,19 @@ def fill_event_id(decoded: DataFrame) -> DataFrame:
 
 
 def fill_log_group(decoded: DataFrame) -> DataFrame:
-    group = F.col("source_log_group")
+    """A null or empty log group becomes the default one."""
+    group = F.coalesce(F.col("source_log_group"), F.lit(""))
     return decoded.withColumn(
         "source_log_group", F.when(group == "", DEFAULT_LOG_GROUP).otherwise(group)
     )
 
 
 def fill_trace_id(decoded: DataFrame) -> DataFrame:
-    """Empty trace id: the record's own; a record without one is skipped."""
-    trace_id = F.col("trace_id")
+    """Null or empty trace id: the record's own; a record without one is skipped."""
+    trace_id, own = F.col("trace_id"), trace_id_of_record(F.col("record"))
     return decoded.withColumn(
         "trace_id",
-        F.when(trace_id == "", trace_id_of_record(F.col("record"))).otherwise(trace_id),
+        F.when(trace_id == "", own).otherwise(F.coalesce(trace_id, own)),
     ).where(trace_id.isNotNull())
 
 

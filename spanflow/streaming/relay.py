@@ -3,27 +3,31 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from spanflow.functions.json import configure
 from spanflow.operators.linking import with_roles
 from spanflow.operators.windows import ARRIVAL, WINDOW_LENGTH
-from spanflow.plans.export import otlp_rows, with_convert_error
-from spanflow.plans.metrics import window_summary
+from spanflow.plans.export import (
+    compact_payloads,
+    otlp_json,
+    otlp_rows,
+    with_convert_error,
+    write_otlp,
+)
+from spanflow.plans.metrics import observe_relay, window_summary
 from spanflow.plans.reconcile import reconcile_unique
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
-# How the relay reads its stream.
-MAX_RECORDS_PER_TRIGGER = 100
-FILL_WAIT = "1 second"
+# How far arrival clocks of parallel readers may differ before a record counts as late.
+LATENESS = "5 minutes"
 
 
 def configure_stream(spark: SparkSession) -> SparkSession:
@@ -37,31 +41,31 @@ def configure_stream(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
-
-    Only where the session names none, as in tests, a local one is made.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix="run-")
+    """A fresh folder under the cluster's shared checkpoint folder, or its warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir", "spark-warehouse"
+    )
     return os.path.join(shared, f"run-{uuid.uuid4().hex}")
 
 
 def kafka_records(
-    spark: SparkSession, servers: str, topic: str, rate: int = MAX_RECORDS_PER_TRIGGER
+    spark: SparkSession, servers: str, topic: str, rate: int | None = None
 ) -> DataFrame:
-    """Keyed records of a Kafka topic from its end on, ``rate`` per trigger.
+    """Keyed records of a Kafka topic from its end on, at most ``rate`` per trigger if given.
 
     Needs the Kafka package of Spark. Feed the result to ``read_partitioned``.
     """
     offset = F.format_string("%05d-%019d", F.col("partition"), F.col("offset"))
-    return (
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "latest")
-        .option("maxOffsetsPerTrigger", rate)
-        .load()
+    )
+    if rate:
+        reader = reader.option("maxOffsetsPerTrigger", rate)
+    return (
+        reader.load()
         .select(
             "key",
             "value",
@@ -74,14 +78,21 @@ def kafka_records(
 
 
 def first_events(
-    records: DataFrame, length: str = WINDOW_LENGTH, delay: str = "0 seconds"
+    records: DataFrame, length: str = WINDOW_LENGTH, delay: str = LATENESS,
+    heartbeats: DataFrame | None = None,
 ) -> DataFrame:
     """First arrival of each event id per window, out when the window closes.
 
     State is one row per window and event id, so a trace or span that most
     records belong to is spread like all others. All events of a closed window
-    come out in the same micro-batch.
+    come out in the same micro-batch. ``heartbeats``, a stream with ``arrival_ts``,
+    moves time on where no records do, so that the last windows close as well.
     """
+    if heartbeats is not None:
+        beats = heartbeats.select("arrival_ts", F.lit(True).alias("heartbeat"))
+        records = records.withColumn("heartbeat", F.lit(False)).unionByName(beats, allowMissingColumns=True)
+    else:
+        records = records.withColumn("heartbeat", F.lit(False))
     columns = set(records.columns)
     size = F.octet_length("message") if "message" in columns else F.octet_length(
         F.to_json("record")
@@ -100,12 +111,14 @@ def first_events(
     )
     return (
         prepared.withWatermark("arrival_ts", delay)
-        .withColumn("arrived", F.struct(*ARRIVAL))
+        .withColumn("arrived", F.when(~F.col("heartbeat"), F.struct(*ARRIVAL)))
         .groupBy(F.window("arrival_ts", length), "source_event_id")
         .agg(
-            F.count(F.lit(1)).alias("copies"),
+            F.count("arrived").alias("copies"),
             F.min_by(F.struct(*kept), "arrived").alias("e"),
         )
+        # A test of the heartbeat itself would move below the watermark and hide it.
+        .where("copies > 0")
         .select(
             F.col("window.start").alias("window_start"), "source_event_id", "copies", "e.*"
         )
@@ -117,11 +130,13 @@ def relay_stream(
     on_close: Callable[[DataFrame, DataFrame, int], None],
     checkpoint: str,
     length: str = WINDOW_LENGTH,
-    delay: str = "0 seconds",
+    delay: str = LATENESS,
+    heartbeats: DataFrame | None = None,
 ) -> DataStreamWriter:
     """Call ``on_close(spans, summary, batch_id)`` for the windows each batch closes.
 
-    A batch that closes no window still calls it, with empty frames. After a
+    A batch that closes no window does not call it. A window closes ``delay`` after its
+    end; records that come later still are counted by ``late_records``. After a
     failure the same batch id comes again with the same rows, so a sink that
     overwrites by batch id ends up right.
     """
@@ -131,12 +146,14 @@ def relay_stream(
         # them would read the window state again.
         events.persist()
         try:
-            on_close(reconcile_unique(events), window_summary(events), batch_id)
+            if events.isEmpty():
+                return
+            on_close(reconcile_unique(events), observe_relay(window_summary(events)), batch_id)
         finally:
             events.unpersist()
 
     return (
-        first_events(records, length, delay)
+        first_events(records, length, delay, heartbeats)
         .writeStream.outputMode("append")
         .foreachBatch(close)
         .option("checkpointLocation", checkpoint)
@@ -144,10 +161,24 @@ def relay_stream(
 
 
 def table_sink(path: str) -> Callable[[DataFrame, DataFrame, int], None]:
-    """Write OTLP rows and window counters below ``path``, one folder per batch."""
+    """Write OTLP rows, payloads and window counters below ``path``, one folder per batch."""
 
     def write(spans: DataFrame, summary: DataFrame, batch_id: int) -> None:
-        otlp_rows(spans).write.mode("overwrite").parquet(f"{path}/spans/batch_id={batch_id}")
+        rows = f"{path}/spans/batch_id={batch_id}"
+        otlp_rows(spans).write.mode("overwrite").parquet(rows)
+        written = spans.sparkSession.read.parquet(rows)
+        write_otlp(
+            compact_payloads(otlp_json(written)), f"{path}/payloads/batch_id={batch_id}", "overwrite"
+        )
         summary.write.mode("overwrite").parquet(f"{path}/summary/batch_id={batch_id}")
 
     return write
+
+
+def late_records(query: StreamingQuery) -> int:
+    """Records that came after their window had closed, as far as progress is kept."""
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )

@@ -74,9 +74,9 @@ def test_flags_keep_the_low_32_bits(spark):
 
 def test_hex_cleaning(spark):
     cases = {
-        "0123456789abcdef": "0123456789abcdef", "0x0123": "0123", "0XAB": "ab",
-        "01-23:45_67 89-ab": "0123456789ab", " ab ": "ab", "": "", "-": "",
-        "01-23-zz": None, "123": None, "0x0x12": None, "a\x0bb0": None, "é0": None, " ab ": "ab",
+        "77aa00ff": "77aa00ff", "0xBEEF": "beef", "0XC0": "c0",
+        "d0:0d_f0-0d c0 de": "d00df00dc0de", " e5 ": "e5", "": "", "-": "",
+        "c0-ffg": None, "fade5": None, "0x0xfe": None, "c\x0bafe": None, "ü7": None, "\u00a0e5\u2003": "e5",
     }
     frame = spark.createDataFrame(list(enumerate(cases)), "n int, s string")
     assert values(frame, otlp.clean_hex(F.col("s"))) == list(cases.values())
@@ -209,3 +209,46 @@ def test_retry_rules(spark):
     assert values(frame, base_backoff_ms(F.col("a"))) == [200, 400, 800, 1600, 2000, 2000, 2000]
     frame = spark.createDataFrame([(0, 4999), (1, 5000)], "n int, b int")
     assert values(frame, has_retry_budget(F.col("b"))) == [False, True]
+
+
+def test_numbers_and_depth_beyond_the_limits_are_malformed(spark):
+    deep = lambda n: "[" * n + "]" * n
+    cases = {
+        '{"a":1e400}': False, '{"a":[-1E+999]}': False, '{"a":' + "9" * 400 + "}": False, '{"a":1e308}': True,
+        '{"a":1e-400}': True, '{"a":"1e400"}': True, '{"a":"\\"1e400"}': True, deep(127): True, deep(128): False,
+        "[" + ",".join(["[]"] * 300) + "]": True, '{"a":"' + "[" * 200 + '"}': True,
+    }
+    frame = documents(spark, *cases)
+    assert values(frame, R.isNotNull()) == list(cases.values())
+
+
+def test_parsing_needs_the_session_option(spark):
+    from spanflow.functions.json import DUPLICATE_KEYS
+
+    spark.conf.set(DUPLICATE_KEYS, "false")
+    try:
+        with pytest.raises(RuntimeError):
+            documents(spark, "{}")
+    finally:
+        spark.conf.set(DUPLICATE_KEYS, "true")
+
+
+def test_values_keep_their_type_at_any_depth(spark):
+    def value(depth, leaf):
+        return leaf if depth == 0 else value(depth - 1, f'{{"k":{leaf},"l":[{leaf},"1.0, -0 "]}}' if depth % 2 else f'[{leaf}]')
+
+    def converted(v):
+        if isinstance(v, dict):
+            return {"kvlistValue": {"values": [{"key": k, "value": converted(v[k])} for k in sorted(v)]}}
+        if isinstance(v, list):
+            return {"arrayValue": {"values": [converted(x) for x in v]}}
+        if isinstance(v, str):
+            return {"stringValue": v}
+        return {"doubleValue": v} if isinstance(v, float) else {"intValue": str(v)}
+
+    cases = [f'{{"attributes":{{"a":{value(d, leaf)}}}}}' for d in range(7) for leaf in ("1.0", "1", "2.50", "-3.00", "-0")]
+    frame = documents(spark, *cases)
+    found = values(frame, otlp.convert_attributes(R, "$.attributes")[0]["value"])
+    for text, got in zip(cases, found):
+        want = converted(json.loads(text, parse_int=lambda t: -0.0 if t == "-0" else int(t))["attributes"]["a"])
+        assert repr(json.loads(got)) == repr(want), text

@@ -147,9 +147,44 @@ def test_terminal_failures_become_replayable_dead_letters(spark, tmp_path):
     )
     path = str(tmp_path / "letters")
     publish.write_dead_letters(letters, path)
-    (replayed,) = publish.replay_dead_letters(spark.read.json(path)).collect()
+    (replayed,) = publish.replay_dead_letters(publish.read_dead_letters(spark, path)).collect()
     assert (replayed.trace_id, replayed.source_log_group) == (TRACE, GROUP)
     assert json.loads(replayed.message) == CLIENT
+    (line,) = publish.read_dead_letters(spark, path).collect()
+    assert json.loads(line.value)["record"] == CLIENT and json.loads(line.value)["attempt_count"] == 1
+
+
+def test_dead_letters_are_sent_in_groups_and_failures_counted(spark):
+    sent, ledger, _ = run(spark, [CLIENT] * 25, {1: {f"event-{i}": "Denied" for i in range(25)}})
+    letters = publish.chunk_failures(publish.dead_letters(ledger, sent, "s"))
+
+    def send(values):
+        if any('"event-3"' in v for v in values):
+            raise OSError("down")
+        return sum('"event-20"' in v for v in values)
+
+    results = publish.send_dead_letters(letters, send)
+    assert [(r.sent, r.failed) for r in results.orderBy("send_index").collect()] == [(0, 10), (10, 0), (4, 1)]
+    with pytest.raises(RuntimeError, match="11 of 25"):
+        publish.require_sent(results)
+    assert publish.require_sent(publish.send_dead_letters(letters, len_of_none)) == 25
+
+
+def len_of_none(values):
+    return 0
+
+
+def test_waits_have_the_backoff_and_a_steady_jitter(spark, tmp_path):
+    log = str(tmp_path / "waits")
+
+    def pause(seconds, log=log):
+        with open(log, "a") as file:
+            file.write(f"{seconds}\n")
+
+    run(spark, [CLIENT], {a: {"event-0": THROTTLED} for a in (1, 2, 3)}, pause=pause)
+    with open(log) as file:
+        waits = [float(line) for line in file]
+    assert 0.2 <= waits[0] < 0.3 and abs(waits[1] - waits[0] - 0.2) < 1e-9
 
 
 def test_a_failed_dead_letter_write_stops_the_job(spark, tmp_path):

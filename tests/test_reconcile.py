@@ -202,8 +202,8 @@ def test_payloads_hold_every_span_once(spark):
     text = otlp_json(otlp_rows(reconcile(arrivals(spark, rows))))
     singles = [payload_spans(r.payload)[0][2]["spanId"] for r in single_payloads(text).collect()]
     assert sorted(singles) == sorted(f"{i:016x}" for i in range(120))
-    for share in (10_000, 1):
-        packed = compact_payloads(text, max_spans=16, share=share).collect()
+    for slices in (64, 1):
+        packed = compact_payloads(text, max_spans=16, slices=slices).collect()
         spans = [s for r in packed for s in payload_spans(r.payload)]
         assert sorted(s[2]["spanId"] for s in spans) == sorted(singles)
         assert all(r.spans == len(payload_spans(r.payload)) <= 16 for r in packed)
@@ -234,3 +234,40 @@ def test_roles_drop_what_is_not_needed(spark):
     assert found["a"].record is None and found["b"].record is None and found["c"].record is not None
     assert found["b"].links is not None and found["c"].richness == 4
     assert documents(spark, TARGET).count() == 1
+
+
+def test_payloads_depend_on_their_window_alone(spark):
+    rows = [(i % 50, f"e{i}", changed(CLIENT, spanId=f"{i:016x}")) for i in range(70)]
+    others = [(600 + i % 50, f"o{i}", changed(CLIENT, spanId=f"{i:016x}")) for i in range(400)]
+
+    def payloads(data):
+        text = otlp_json(otlp_rows(reconcile(arrivals(spark, data))))
+        return sorted(r.payload for r in compact_payloads(text, max_spans=16).where("window_start < '2024-05-01 12:05:00'").collect())
+
+    assert payloads(rows) == payloads(rows + others) and len(payloads(rows)) == 5
+
+
+def test_payload_spans_stand_in_emission_order(spark):
+    rows = [(i, f"e{i}", changed(TARGET if i % 3 == 0 else CLIENT, spanId=f"{40 - i:016x}")) for i in range(30)]
+    (packed,) = compact_payloads(otlp_json(otlp_rows(reconcile(arrivals(spark, rows))))).collect()
+    spans = [s[2]["spanId"] for s in payload_spans(packed.payload)]
+    targets = [f"{40 - i:016x}" for i in range(30) if i % 3 == 0]
+    assert [s for s in spans if s in targets] == sorted(targets)
+    assert [s for s in spans if s not in targets] == [f"{40 - i:016x}" for i in range(30) if i % 3]
+
+
+def test_no_record_is_lost_where_keys_are_null(spark):
+    from spanflow.plans.metrics import record_balance
+    from spanflow.plans.reconcile import unplaced
+
+    frame = arrivals(spark, [(0, "a", CLIENT), (1, "b", TARGET), (1, "b", TARGET), (2, "c", DECORATOR), (3, "d", changed(CLIENT, endTimeUnixNano="x")), (70, "e", CLIENT)])
+    none = F.lit(None).cast("string")
+    bare = frame.withColumns({"source_log_group": none, "trace_id": none})
+    assert reconcile(bare).count() == reconcile(frame).count() == 4
+    assert {r.source_log_group for r in reconcile(bare).collect()} == {"aws/spans"}
+    lost = bare.withColumn("arrival_ts", F.when(F.col("source_event_id") != "e", F.col("arrival_ts")))
+    assert [r.reason for r in unplaced(lost).collect()] == ["no_arrival"]
+    rows = record_balance(lost).orderBy(F.col("window_start").asc_nulls_last()).collect()
+    assert [(r.records, r.duplicates, r.decorators, r.emitted, r.conversion_errors, r.unplaced, r.residual) for r in rows] == [
+        (5, 1, 1, 2, 1, 0, 0), (1, 0, 0, 0, 0, 1, 0),
+    ]

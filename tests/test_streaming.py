@@ -9,7 +9,7 @@ from spanflow.plans.reconcile import reconcile
 from spanflow.sources.stream_records import read_partitioned
 from spanflow.sources.log_batches import read_envelopes
 from spanflow.streaming.partition import partition_stream
-from spanflow.streaming.relay import relay_stream, table_sink, work_dir
+from spanflow.streaming.relay import late_records, relay_stream, table_sink, work_dir
 from tests.helpers import CLIENT, DECORATOR, TARGET, arrivals, changed
 
 STREAM = "arrival_ts timestamp, arrival_seq string, event_id string, sequence_number string, value string"
@@ -35,9 +35,12 @@ def source(spark, path):
     )
 
 
-def run(spark, path, out, checkpoint):
-    query = relay_stream(read_partitioned(source(spark, path)), table_sink(out), checkpoint)
-    query.trigger(availableNow=True).start().awaitTermination()
+def run(spark, path, out, checkpoint, delay="0 seconds", beats=None):
+    query = relay_stream(
+        read_partitioned(source(spark, path)), table_sink(out), checkpoint, delay=delay, heartbeats=beats
+    ).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
 
 
 def content(frame):
@@ -78,7 +81,50 @@ def test_the_newest_window_stays_open(spark, tmp_path):
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
     write_files(spark, [(0, "a", CLIENT), (30, "b", CLIENT)], path, 1)
     run(spark, path, out, str(tmp_path / "check"))
-    assert spark.read.parquet(f"{out}/spans").count() == 0
+    assert not (tmp_path / "out").exists()
+
+
+def beats(spark, tmp_path):
+    spark.sql("select timestamp'2100-01-01' as arrival_ts").write.parquet(str(tmp_path / "beats"))
+    return spark.readStream.schema("arrival_ts timestamp").parquet(str(tmp_path / "beats"))
+
+
+def test_a_heartbeat_closes_the_last_windows_and_payloads_are_written(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_files(spark, [(0, "a", CLIENT), (30, "b", CLIENT), (90, "c", CLIENT)], path, 5)
+    run(spark, path, out, str(tmp_path / "check"), beats=beats(spark, tmp_path))
+    assert sorted(r.source_event_id for r in spark.read.parquet(f"{out}/spans").collect()) == ["a", "b", "c"]
+    payloads = spark.read.parquet(f"{out}/payloads").collect()
+    assert sorted(r.spans for r in payloads) == [1, 2] and all(json.loads(r.payload) for r in payloads)
+
+
+def test_records_of_a_slow_reader_are_kept_and_later_ones_counted(spark, tmp_path):
+    # A close takes effect for late records one batch after it.
+    rows = [(0, "a", CLIENT), (200, "b", CLIENT), (201, "b2", CLIENT), (10, "late", CLIENT), (900, "c", CLIENT), (901, "c2", CLIENT)]
+    for delay, lost in (("5 minutes", 0), ("0 seconds", 1)):
+        here = tmp_path / str(lost)
+        path, out = str(here / "in"), str(here / "out")
+        write_files(spark, rows, path, 1)
+        query = run(spark, path, out, str(here / "check"), delay=delay)
+        found = {r.source_event_id for r in spark.read.parquet(f"{out}/spans").collect()}
+        assert ("late" in found) == (lost == 0) and late_records(query) == lost
+
+
+def test_logs_to_payloads_through_both_stages(spark, tmp_path):
+    logs, keyed, out = (str(tmp_path / n) for n in ("logs", "keyed", "out"))
+    events = [(f"e{i}", i, json.dumps(r)) for i, r in enumerate([CLIENT, TARGET, DECORATOR])]
+    wire = "logGroup string, messageType string, logEvents array<struct<id:string,timestamp:bigint,message:string>>"
+    spark.createDataFrame([("/logs/a", "DATA_MESSAGE", events), ("/logs/a", "DATA_MESSAGE", events[:1])], wire).coalesce(1).write.json(logs)
+    stage = partition_stream(read_envelopes(spark, logs, streaming=True), keyed, str(tmp_path / "c1"))
+    stage.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.input_records for r in spark.read.parquet(f"{keyed}/summary").collect()) == [1, 3]
+    schema = spark.read.parquet(f"{keyed}/records").drop("batch_id").schema
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{keyed}/records")
+    query = relay_stream(read_partitioned(stream), table_sink(out), str(tmp_path / "c2"), heartbeats=beats(spark, tmp_path))
+    query.trigger(availableNow=True).start().awaitTermination()
+    spans = spark.read.parquet(f"{out}/spans").orderBy("source_event_id").collect()
+    assert [r.source_event_id for r in spans] == ["e0", "e1"] and len(spans[1].links) == 1
+    assert sum(r.spans for r in spark.read.parquet(f"{out}/payloads").collect()) == 2
 
 
 def test_log_stream_is_partitioned_and_quarantined(spark, tmp_path):
@@ -88,8 +134,8 @@ def test_log_stream_is_partitioned_and_quarantined(spark, tmp_path):
     spark.createDataFrame([("/logs/a", events)], schema).write.json(logs)
     query = partition_stream(read_envelopes(spark, logs, streaming=True), out, str(tmp_path / "check"))
     query.trigger(availableNow=True).start().awaitTermination()
-    records = spark.read.parquet(f"{out}/records").orderBy("pos").collect()
-    assert [r.source_event_id for r in records] == ["e0", "e2"]
+    records = spark.read.parquet(f"{out}/records").orderBy("arrival_seq").collect()
+    assert [json.loads(r.value)["source_event_id"] for r in records] == ["e0", "e2"]
     assert json.loads(records[0].value)["record"] == CLIENT
     assert [r.malformed for r in spark.read.parquet(f"{out}/quarantine").collect()] == ["bad_json"]
     assert spark.read.parquet(f"{out}/summary").first().malformed_records == 1
