@@ -59,7 +59,9 @@ def test_windows(items: DataFrame, width: int) -> DataFrame:
     )
 
 
-def build_index(keyed: DataFrame, windows: DataFrame, width: int, bound: int) -> tuple[DataFrame, DataFrame]:
+def build_index(
+    keyed: DataFrame, windows: DataFrame, width: int, bound: int, slop: int = 0
+) -> tuple[DataFrame, DataFrame]:
     """Postings of the probe terms, and the windows with ``probe`` and ``offset``."""
     vocabulary = windows.select(F.explode("words").alias("term")).distinct()
     size = vocabulary.count()
@@ -75,7 +77,7 @@ def build_index(keyed: DataFrame, windows: DataFrame, width: int, bound: int) ->
     )
     probes = stage(probes, "probes")
     wanted = probes.select(F.col("probe").alias("term")).distinct()
-    reach = width - 1
+    reach = width - 1 + slop
     before = F.greatest(F.col("position") - reach, F.lit(0))
     postings = (
         keyed.select(*KEY, terms(F.col("text")).alias("words"))
@@ -126,7 +128,7 @@ def contamination(
     keyed = with_key(text_rows(docs, doc_id, text))
     tests = items.select(items[item_id].cast("string").alias("item_id"), items[item_text].cast("string").alias("text"))
     windows = stage(test_windows(tests, width), "windows")
-    postings, probes = build_index(keyed, windows, width, bound)
+    postings, probes = build_index(keyed, windows, width, bound, slop or 0)
     # Repeated rows give equal postings, hence distinct.
     found = stage(matches(postings, probes, bound, slop).distinct(), "matches")
     covered = found.select(

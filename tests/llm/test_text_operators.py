@@ -62,7 +62,7 @@ def test_near_duplicate_groups(docs, width):
             groups.join(a, b)
     want = Counter((i, len(s), groups.find(i) if i is not None else None) for i, s in sets)
     assert bag(superminhash.near_duplicate_groups(docs, width=width).collect()) == want
-    assert len({groups.find(i) for i, _ in sets if i is not None}) < len({i for i, _ in sets}) - 10
+    assert len({groups.find(i) for i, _ in sets if i is not None}) < len({i for i, _ in sets}) - 5
 
 
 def test_contested_bucket_keeps_all_links(spark):
@@ -170,7 +170,7 @@ def test_proximity(spark):
     docs = spark.createDataFrame([(1, "a b x c d"), (2, "c d a b"), (3, "a b c d"), (4, "d z z z z a b c")], "doc_id bigint, text string")
     items = spark.createDataFrame([(1, "a b c d")], "item_id int, text string")
     hits = lambda slop: {r.doc_id for r in positional_index.contamination(docs, items, slop=slop).collect() if r.n_hit}
-    assert hits(None) == {3} and hits(1) == {1, 3} and hits(2) == {1, 2, 3}
+    assert hits(None) == {3} and hits(1) == {1, 3} and hits(4) == {1, 2, 3} and hits(9) == {1, 2, 3, 4}
 
 
 def test_packing(docs):
