@@ -20,13 +20,35 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages"
 
 
+#: Lets Spark remove the shuffle files of a query when the query ends.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written once to the shared folder and read back: work is done
-    once, and a lost executor costs a read, not the lineage."""
+    once, and a lost executor costs a read, not the lineage. Its shuffle files go
+    as soon as it is written."""
     spark = frame.sparkSession
     path = f"{shared_dir(spark)}/spanflow-{uuid.uuid4().hex}/{name}"
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(_SHUFFLE_CLEANUP, before)
+    read = spark.read.schema(frame.schema).parquet(path)
+    read.staged_at = path
+    return read
+
+
+def discard(frame: DataFrame) -> None:
+    """Removes what ``stage`` wrote for ``frame``, when all that follows from it is written."""
+    jvm = frame.sparkSession.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(frame.staged_at)
+    folder.getFileSystem(frame.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def text_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

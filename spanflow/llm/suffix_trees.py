@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanflow.llm import bytework
-from spanflow.llm.common import KEY, slices, stage, text_rows, utf8, with_key
+from spanflow.llm.common import KEY, discard, slices, stage, text_rows, utf8, with_key
 
-GRAM = 5
+GRAM = 8
 GROUP = 50_000
 
 
@@ -77,7 +77,9 @@ def _anchors(width: int, gram: int):
 
 
 def _suffixes(width: int, depths: list[int]):
-    """A row for each window of the open runs: its words' prints and its prefixes' prints."""
+    """A row for each window of the open runs: its prefixes' prints, and short prints of
+    the words after the shortest prefix, the edges below its node."""
+    below = width - depths[0]
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -91,22 +93,22 @@ def _suffixes(width: int, depths: list[int]):
             run = np.repeat(np.arange(len(rows)), count)
             start = low[run] + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
             place = first[rows[run]] + start
-            words = values[place[:, None] + np.arange(width)].reshape(-1).view(np.int64)
-            ends = pa.array(np.arange(0, len(words) + 1, width, dtype=np.int32))
+            words = (values[place[:, None] + np.arange(depths[0], width)].reshape(-1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            ends = pa.array(np.arange(0, len(words) + 1, below, dtype=np.int32))
             taken = pa.array(rows[run])
             yield pa.record_batch(
                 [
                     batch.column("key_id").take(taken), batch.column("key_text").take(taken), pa.array(start),
                     pa.ListArray.from_arrays(ends, pa.array(words)),
-                    *(pa.array(prints.of(place, place + d).view(np.int64)) for d in depths),
+                    *(pa.array(prints.of(place, place + d).view(np.int64)) for d in depths[:-1]),
                 ],
-                names=["key_id", "key_text", "start", "words", *(f"prefix_{d}" for d in depths)],
+                names=["key_id", "key_text", "start", "words", *(f"prefix_{d}" for d in depths[:-1])],
             )
 
     return explode
 
 
-def _repeated_leaves(width: int):
+def _repeated_leaves(below: int):
     """Of suffixes sorted by words and place: those below a node of full depth that are not its earliest leaf."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,13 +117,15 @@ def _repeated_leaves(width: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            words = batch.column("words").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            words = batch.column("words").flatten().to_numpy(zero_copy_only=False).reshape(-1, below)
+            words = np.concatenate((batch.column("prefix").to_numpy(zero_copy_only=False)[:, None], words), axis=1)
             ids = batch.column("key_id").to_numpy(zero_copy_only=False)
             starts = batch.column("start").to_numpy(zero_copy_only=False)
             above = np.concatenate((words[:1] if before is None else before[None], words[:-1]))
             equal = words == above
-            depth = np.where(equal.all(axis=1), width, equal.argmin(axis=1))  # common prefix with the leaf before
-            new = depth < width
+            # Edges shared with the leaf before; a leaf that shares all is below the same deepest node.
+            depth = np.where(equal.all(axis=1), below + 1, equal.argmin(axis=1))
+            new = depth <= below
             if before is None:
                 new[0] = True
             node = np.cumsum(new)  # 0: the node that the batch before left open
@@ -143,7 +147,9 @@ def repeated_windows(keyed: DataFrame, width: int = 20, gram: int = GRAM, group:
         "anchors",
     )
     often = scanned.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    often = stage(often, "often")  # written out, so that Spark can split large keys of the join
     repeated = stage(scanned.join(often, "gram"), "repeated")
+    discard(scanned)
     # The earliest of equal runs, and whether its anchor has other runs.
     kinds = repeated.groupBy("gram", "run").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("key_id", "start")).alias("earliest")
@@ -160,32 +166,36 @@ def repeated_windows(keyed: DataFrame, width: int = 20, gram: int = GRAM, group:
     )
     by_text = firsts.groupBy(*KEY).agg(F.collect_list(F.struct("start", "spread")).alias("runs"))
     depths = sorted({*range(gram, width, gram), width})
-    schema = "key_id bigint, key_text bigint, start bigint, words array<bigint>, " + ", ".join(f"prefix_{d} bigint" for d in depths)
+    schema = "key_id bigint, key_text bigint, start bigint, words array<int>, " + ", ".join(f"prefix_{d} bigint" for d in depths[:-1])
     suffixes = stage(
         keyed.select(*KEY, "text").join(by_text, KEY).dropDuplicates(KEY).mapInArrow(_suffixes(width, depths), schema),
         "suffixes",
     )
-    done = []
+    written, done = suffixes, []
     for d in depths[:-1]:
         crowd = suffixes.groupBy(f"prefix_{d}").agg(F.count(F.lit(1)).alias("n")).where(f"n > {group}").drop("n")
         crowd = stage(crowd, "crowded")  # at most a row for each ``group`` suffixes
         part = suffixes.join(crowd, f"prefix_{d}", "left_anti")
-        done.append(part.select(*KEY, "start", "words", F.col(f"prefix_{d}").alias("prefix")))
+        done.append(part.select(*KEY, "start", "words", F.col(f"prefix_{d}").alias("group"), F.col(f"prefix_{depths[0]}").alias("prefix")))
         suffixes = suffixes.join(crowd, f"prefix_{d}", "left_semi")
         if crowd.isEmpty():
             break
     else:
         # Prefixes as long as a window: every group is one node.
-        nodes = suffixes.groupBy("words").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key_id", "start")).alias("earliest"))
-        last = suffixes.join(nodes.where("n > 1"), "words").where(F.struct("key_id", "start") != F.col("earliest"))
+        node = [f"prefix_{depths[0]}", "words"]
+        nodes = suffixes.groupBy(*node).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key_id", "start")).alias("earliest"))
+        last = suffixes.join(stage(nodes.where("n > 1"), "nodes"), node).where(F.struct("key_id", "start") != F.col("earliest"))
         whole = whole.union(last.select(*KEY, "start", (F.col("start") + width).alias("end")))
     for part in done:
         leaves = (
-            part.repartition("prefix").sortWithinPartitions("prefix", "words", "key_id", "start")
-            .mapInArrow(_repeated_leaves(width), "key_id bigint, key_text bigint, start bigint")
+            part.repartition("group").sortWithinPartitions("prefix", "words", "key_id", "start")
+            .mapInArrow(_repeated_leaves(width - depths[0]), "key_id bigint, key_text bigint, start bigint")
         )
         whole = whole.union(leaves.select(*KEY, "start", (F.col("start") + width).alias("end")))
-    return whole
+    spans = stage(whole, "spans")
+    for frame in (repeated, kinds, written):
+        discard(frame)
+    return spans
 
 
 def _kept_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
