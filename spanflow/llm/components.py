@@ -39,12 +39,12 @@ def _local_union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
-    """One star step. Minima are aggregated with partial results and joined back, so
-    the neighbours of a hot id are never gathered; such a join may split its key."""
+    """One star step. Minima are aggregated with partial results, written out and joined
+    back, so the neighbours of a hot id are never gathered: Spark splits such a key."""
     sides = links.select(F.col("low").alias("other"), F.col("high").alias("node"))
     if large:
         sides = sides.union(links.select(F.col("high").alias("other"), F.col("low").alias("node")))
-    least = sides.groupBy("node").agg(F.min("other").alias("least"))
+    least = stage(sides.groupBy("node").agg(F.min("other").alias("least")), "least")
     moved = sides.join(least, "node")
     if large:
         moved = moved.where("other > node").select(

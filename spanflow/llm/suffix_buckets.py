@@ -18,8 +18,9 @@ refinement as its pointer.
 4. What is left differs at the fringe of a block, and each of its few windows gets a
    bucket of its own.
 
-All steps are grouped counts with partial results and joins, so a bucket that holds a
-third of all suffixes neither gathers in a task nor makes pairs.
+All steps are grouped counts with partial results, written out, and joins back to them,
+of which Spark splits large keys. So a bucket that holds a third of all suffixes neither
+gathers in a task nor makes pairs.
 
 A null text counts as empty; a text shorter than ``length`` keeps all bytes. Rows that
 repeat one another are copies like any other. Texts of any length work, since they are
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanflow.llm import bytework
-from spanflow.llm.common import KEY, segments, slices, stage, text_rows, utf8, with_key
+from spanflow.llm.common import KEY, discard, segments, slices, stage, text_rows, utf8, with_key
 
 GRAM = 128
 BLOCK = 16
@@ -183,15 +184,18 @@ def repeated_spans(keyed: DataFrame, length: int = 400, gram: int = GRAM, block:
     buckets = scanned.groupBy("gram").agg(
         F.count(F.lit(1)).alias("n"), F.min("run").alias("low_run"), F.max("run").alias("high_run")
     ).where("n > 1")
+    buckets = stage(buckets, "buckets")
     repeated = stage(
         scanned.join(buckets.select("gram", (F.col("low_run") == F.col("high_run")).alias("agreed")), "gram"), "repeated"
     )
+    discard(scanned)
     whole_run = [(F.col("place") - F.col("lead")).alias("start"), (F.col("place") - F.col("lead") + F.col("spread") + length).alias("end")]
     # Within a bucket that is refined: those that agree are repeats, and one of them goes on.
     split = repeated.where("not agreed")
     kinds = split.groupBy("gram", "run").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "place")).alias("one")
     )
+    kinds = stage(kinds, "kinds")
     judged = split.join(kinds, ["gram", "run"])
     open_rows = kinds.select("gram", "run", "one.*").join(
         split.select("gram", "run", *KEY, "place", "lead", "spread"), ["gram", "run", *KEY, "place"]
@@ -210,6 +214,7 @@ def repeated_spans(keyed: DataFrame, length: int = 400, gram: int = GRAM, block:
     refined = blocks.groupBy("common").agg(
         F.count(F.lit(1)).alias("n"), (F.min("whole") == F.max("whole")).alias("agreed")
     ).where("n > 1")
+    refined = stage(refined, "refined")
     fringe = stage(blocks.join(refined.select("common", "agreed"), "common"), "fringe")
     places = contexts.select(*KEY, "place", "lead")
     agreed_blocks = fringe.where("agreed").join(places, [*KEY, "place"])
@@ -220,6 +225,7 @@ def repeated_spans(keyed: DataFrame, length: int = 400, gram: int = GRAM, block:
     )
     windows = stage(windows, "windows")
     twice = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    twice = stage(twice, "twice")
     first = F.col("place") - F.col("lead")
     return (
         repeated.where("agreed").select(*KEY, *whole_run)

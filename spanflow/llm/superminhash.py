@@ -167,7 +167,7 @@ def _contested_pairs(contested: DataFrame, texts: DataFrame, width: int, percent
     sets = wanted.select("doc_id", "text").mapInArrow(listed, "rep bigint, shingles array<bigint>")
     held = sets.select("rep", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
     held = stage(held, "contested")
-    often = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    often = stage(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")), "often")
     place = F.row_number().over(Window.partitionBy("rep").orderBy("often", "shingle"))
     needed = F.ceil(F.col("size") * percent / 100)
     prefixes = (
@@ -205,10 +205,12 @@ def near_duplicate_groups(
     buckets = stage(
         members.where("doc_id = rep").select(F.explode("bands").alias("bucket"), "rep").distinct(), "bands"
     )
-    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Counts are written out before they are joined back, so that Spark can split large keys.
+    sizes = stage(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
     shared = stage(buckets.join(sizes, "bucket"), "shared")
     met = shared.groupBy("rep").agg(F.sum("n").alias("met"))
     centers = shared.join(met, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("met", "rep")).alias("center"))
+    centers = stage(centers, "centers")
     shared = stage(shared.join(centers, "bucket").select("bucket", "rep", "center"), "centered")
 
     def pair(x: str, y: str) -> list:
@@ -235,9 +237,12 @@ def near_duplicate_groups(
     )
     rest = _contested_pairs(contested, texts, width, percent).join(pairs, ["low", "high"], "left_anti")
     more = stage(_verified(rest, texts, width, percent), "more")
-    # All members of a class; a repeated id with two sets joins their classes.
-    copies = members.where("doc_id != rep").select(F.col("rep").alias("low"), F.col("doc_id").alias("high"))
-    groups = connected_components(links.union(more).union(copies))
-    return grouped(
-        drawn.select("doc_id", "n_shingles"), "doc_id", "component_id"
-    ).select("doc_id", "n_shingles", "component_id")
+    # An id that stands for several sets joins their classes.
+    ids = members.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("last_rep"))
+    several = members.join(ids.where("rep != last_rep").select("doc_id", F.col("rep").alias("low")), "doc_id").select("low", F.col("rep").alias("high"))
+    groups = connected_components(links.union(more).union(several))
+    # A class's component holds its representative, the least of its ids.
+    placed = grouped(ids.select("doc_id", "rep"), "rep", "component_id").select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_component"))
+    return drawn.join(placed, F.col("doc_id") == F.col("_id"), "left").select(
+        "doc_id", "n_shingles", F.coalesce("_component", "doc_id").alias("component_id")
+    )
