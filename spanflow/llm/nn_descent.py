@@ -1,23 +1,19 @@
-"""Near-duplicate vectors by neighbour descent.
+"""Near-duplicate vectors, compared in blocks.
 
 Vectors are compared only under one label. Equal vectors form a class with one
-representative. The neighbour graph holds for each vector the most similar ones found:
+representative. Every representative meets every other of its label once:
 
-1. It starts from vectors that share a cell of random hyperplanes, in several tables.
-2. In each round a vector's neighbours, in both directions, are compared with one
-   another: each is a neighbour's neighbour of the others. Only what is new on at least
-   one side is compared. Rounds end when few entries change.
-3. A list whose entries all reach the threshold is saturated: more links may exist than
-   it has room for. Such a vector's list is enlarged to all of its component of links so
-   far, compared in blocks that only return counts; a vector outside the component that
-   links with one inside is in the lists of either.
-4. An audit takes a fixed number of vectors, by hash, against all rows of their labels in
-   blocks, and measures the share of true links found; below 0.95 the graph is refined
-   in a further pass with other hyperplanes.
-5. Entries at or above the threshold, confirmed in double precision, are the links.
+1. Representatives are dealt into parts of ``HELD_BYTES``. A part at a time is sent to all
+   executors, and every task compares its rows of that part and of later parts with it.
+2. Similarities are products of matrices in single precision; those within its error of
+   the threshold are computed again in double precision.
+3. A task returns counts of linked vectors, and links enough to join what its links join.
+   Counts add up to the links of a vector, joining links give the components. So a
+   group of near copies of any size is whole, and its links are not listed.
 
-Groups that a task compares have a fixed number of members: a cell or a
-neighbourhood with more is dealt out at random, by another deal in each round.
+Nothing is sampled or estimated: a neighbour descent (lists of ten, refined from random
+cells) stood here, and lost links that no list held. The price is work that grows with
+the square of the largest labels; disk and messages grow with the number of vectors.
 
 Vectors without a label, null, all zero, or with null or non-finite components link with
 nothing. Vectors of other length than the one compared with do not link. Rows that
@@ -30,21 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanflow.llm.common import stage
 from spanflow.llm.components import connected_components
 
-#: Entries of a list, members of a compared group, hash tables of the first graph.
-LIST = 10
-GROUP = 128
-TABLES = 6
-CELL = 32
-ROUNDS = 6
-AUDIT = 500
-BLOCK = 512
-_PAIR = "id bigint, other bigint, sim double"
+#: Bytes of vectors that all tasks hold at once; rows and columns of a product.
+HELD_BYTES = 32 << 20
+ROWS = 512
+COLUMNS = 2048
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str, label: str) -> DataFrame:
@@ -78,176 +69,106 @@ def _matrix(column: pa.Array, dtype=np.float32) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _cells(bits: int, seed: int):
-    """A row for each table: the sides of ``bits`` hyperplanes on which a vector lies."""
+def _linked(one: np.ndarray, two: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in ``one`` and in ``two`` of all pairs of rows whose product reaches ``least``.
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = _matrix(batch.column("unit"))
-            planes = np.random.default_rng(seed).normal(size=(TABLES, x.shape[1], bits)).astype(np.float32)
-            rows = pa.array(np.arange(batch.num_rows))
-            for table in range(TABLES):
-                sides = (x @ planes[table] > 0) @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(x), np.int64)
-                yield pa.record_batch(
-                    [batch.column("label").take(rows), pa.array(np.full(len(x), table, np.int32)), pa.array(sides), batch.column("id"), batch.column("unit")],
-                    names=["label", "part", "cell", "id", "unit"],
-                )
-
-    return code
-
-
-def _best_of_groups(keep: int, keys: list[str]):
-    """Within consecutive rows of equal ``keys``, at most ``GROUP``: each member's best others.
-
-    With a column ``fresh``, pairs of two members that both are not fresh are left out.
+    Single precision decides where its error cannot matter, double precision the rest.
     """
+    few, other = one.astype(np.float32), two.astype(np.float32)
+    slack = (one.shape[1] + 8) * 2.0**-23
+    for a in range(0, len(one), ROWS):
+        for b in range(0, len(two), COLUMNS):
+            sims = few[a : a + ROWS] @ other[b : b + COLUMNS].T
+            i, j = np.nonzero(sims >= least - slack)
+            if not len(i):
+                continue
+            good = sims[i, j] >= least + slack
+            i, j = i + a, j + b
+            unsure = np.flatnonzero(~good)
+            for part in np.array_split(unsure, len(unsure) // 65536 + 1):
+                good[part] = np.einsum("ij,ij->i", one[i[part]], two[j[part]]) >= least
+            yield i[good], j[good]
+
+
+def _join(parent: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
+    """Joins the sets of ``u`` and ``v``, pair by pair. Each place of ``parent`` holds the
+    root of its set, before and after."""
+    while True:
+        x, y = parent[u], parent[v]
+        apart = x != y
+        if not apart.any():
+            return
+        u, v = u[apart], v[apart]
+        parent[np.maximum(x, y)[apart]] = np.minimum(x, y)[apart]
+        while (parent != (up := parent[parent])).any():
+            parent[:] = up
+
+
+def _by_label(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+    """Each label with the places of its rows."""
+    column = table.column("label")
+    coded = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).dictionary_encode()
+    codes = coded.indices.to_numpy()
+    order = np.argsort(codes, kind="stable")
+    ends = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1))
+    for k, label in enumerate(coded.dictionary.to_pylist()):
+        yield label, order[ends[k] : ends[k + 1]]
+
+
+def _against(held, least: float):
+    """All vectors of a batch against all held ones of their labels. Rows ``id, n`` count
+    linked vectors with their copies; rows ``id, other`` are links enough to join what the
+    batch's links join, at most one for each vector. What is met later than the held
+    vectors counts for both sides, so that two vectors meet once."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-
-        def groups(table: pa.Table, last: bool):
-            table = table.combine_chunks()
-            size = table.num_rows
-            new = np.zeros(size, bool)
-            new[:1] = True
-            for key in keys:
-                values = table.column(key).to_numpy()
-                new[1:] |= values[1:] != values[:-1]
-            heads = np.append(np.flatnonzero(new), size)
-            return table, heads if last else heads[:-1]
-
-        def found(table: pa.Table, heads: np.ndarray) -> pa.RecordBatch:
-            ids = table.column("id").to_numpy()
-            units = _matrix(table.column("unit").combine_chunks())
-            fresh = table.column("fresh").to_numpy() if "fresh" in table.column_names else np.ones(len(ids), bool)
-            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for a, b in zip(heads[:-1], heads[1:], strict=True):
-                for first in range(a, b, GROUP):
-                    rows = slice(first, min(first + GROUP, b))
-                    own, x, new = ids[rows], units[rows], fresh[rows]
-                    if len(own) < 2 or not new.any():
-                        continue
-                    sims = x @ x.T
-                    sims[~(new[:, None] | new[None, :])] = -2
-                    sims[own[:, None] == own[None, :]] = -2
-                    k = min(keep, len(own) - 1)
-                    best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-                    values = np.take_along_axis(sims, best, axis=1)
-                    good = values > -2
-                    out.append((np.repeat(own, k)[good.ravel()], own[best][good], values[good].astype(float)))
-            parts = [np.concatenate(p) for p in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-            return pa.record_batch([pa.array(p) for p in parts], names=["id", "other", "sim"])
-
         for batch in batches:
-            table = pa.table(batch) if not isinstance(batch, pa.Table) else batch
-            held = table if held is None else pa.concat_tables([held, table])
-            table, heads = groups(held, last=False)
-            if len(heads) > 1:
-                yield found(table, heads)
-                held = table.slice(int(heads[-1]))
-        if held is not None and held.num_rows:
-            yield found(*groups(held, last=True))
+            if not batch.num_rows:
+                continue
+            all_ids, all_copies, all_later = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "copies", "later"))
+            units = _matrix(batch.column("unit"), np.float64)
+            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for label, at in _by_label(batch):
+                if label not in held.value:
+                    continue
+                other_ids, other_copies, others = held.value[label]
+                ids, copies, later, size = all_ids[at], all_copies[at], all_later[at], len(at)
+                counts, parent = np.zeros(size + len(other_ids), np.int64), np.arange(size + len(other_ids))
+                for i, j in _linked(units[at], others, least):
+                    apart = ids[i] != other_ids[j]
+                    i, j = i[apart], j[apart]
+                    np.add.at(counts, i, other_copies[j])
+                    back = later[i]
+                    np.add.at(counts, j[back] + size, copies[i[back]])
+                    _join(parent, i, j + size)
+                both = np.concatenate([ids, other_ids])
+                some, low = np.flatnonzero(counts), np.flatnonzero(parent != np.arange(len(parent)))
+                out.append((both[some], np.full(len(some), -1), counts[some]))
+                out.append((both[parent[low]], both[low], np.zeros(len(low), np.int64)))
+            ids, others, counts = (np.concatenate(x) for x in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 3
+            yield pa.record_batch(
+                [pa.array(ids), pa.array(others, mask=counts > 0), pa.array(counts)], names=["id", "other", "n"]
+            )
 
     return compare
 
 
-def _top(pairs: DataFrame, keep: int) -> DataFrame:
-    """The ``keep`` best of each list, each other vector once."""
-    once = pairs.groupBy("id", "other").agg(F.max("sim").alias("sim"), F.max("old").alias("old"))
-    order = Window.partitionBy("id").orderBy(F.desc("sim"), "other")
-    return once.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= keep).drop("_n")
-
-
-def _from_cells(units: DataFrame, size: int, seed: int, keep: int) -> DataFrame:
-    bits = max(0, int(np.ceil(np.log2(max(size, 1) / CELL))))
-    cells = units.select("label", "id", F.col("unit").cast("array<float>").alias("unit")).mapInArrow(
-        _cells(bits, seed), "label string, part int, cell bigint, id bigint, unit array<float>"
-    )
-    deal = F.xxhash64("id", F.lit(seed))
-    keyed = cells.withColumn("group", F.xxhash64("label", "part", "cell")).withColumn("deal", deal)
-    # A crowded cell is dealt out to groups of about GROUP / 2.
-    crowd = cells.groupBy("label", "part", "cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP)
-    crowd = crowd.select(F.xxhash64("label", "part", "cell").alias("group"), "n")
-    keyed = keyed.join(crowd, "group", "left")
-    parts = F.when(F.col("n").isNotNull(), F.pmod("deal", F.ceil(F.col("n") * 2 / GROUP))).otherwise(0)
-    keyed = keyed.select(F.xxhash64("group", parts).alias("group"), "id", "unit", "deal")
-    return (
-        keyed.repartition("group").sortWithinPartitions("group", "deal").select("group", "id", "unit")
-        .mapInArrow(_best_of_groups(keep, ["group"]), _PAIR)
-        .withColumn("old", F.lit(False))
-    )
-
-
-def _around(graph: DataFrame, units: DataFrame, seed: int, keep: int) -> DataFrame:
-    """New entries from comparing the neighbours of each vector with one another."""
-    fresh = ~F.col("old")
-    edges = graph.select("id", "other", fresh.alias("fresh"))
-    sides = edges.union(edges.select(F.col("other"), F.col("id"), "fresh")).toDF("center", "member", "fresh")
-    sides = sides.groupBy("center", "member").agg(F.max("fresh").alias("fresh"))
-    degree = sides.groupBy("center").agg(F.count(F.lit(1)).alias("n"), F.max("fresh").alias("any")).where("any").drop("any")
-    deal = F.xxhash64("member", F.lit(seed))
-    dealt = sides.join(degree, "center").select(
-        F.xxhash64("center", F.pmod(deal, F.ceil(F.col("n") * 2 / GROUP))).alias("group"), F.col("member").alias("id"), "fresh"
-    )
-    return (
-        dealt.join(units.select("id", F.col("unit").cast("array<float>").alias("unit")), "id")
-        .repartition("group").sortWithinPartitions("group").select("group", "id", "unit", "fresh")
-        .mapInArrow(_best_of_groups(keep, ["group"]), _PAIR)
-        .withColumn("old", F.lit(False))
-    )
-
-
-def _confirmed(pairs: DataFrame, units: DataFrame, least: float) -> DataFrame:
-    """Pairs ``low, high`` whose cosine in double precision reaches ``least``."""
-    one = pairs.join(units.select(F.col("id").alias("low"), F.col("unit").alias("u")), "low")
-    both = one.join(units.select(F.col("id").alias("high"), F.col("unit").alias("w")), "high")
-    dot = F.aggregate(F.zip_with("u", "w", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    return both.where(dot >= least).select("low", "high")
-
-
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows of equal ``key`` in blocks of about ``BLOCK``: ``key, members``."""
-    sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")))
-    return dealt.groupBy("key", "block").agg(F.collect_list(F.struct("id", "copies", "unit")).alias("members"))
-
-
-def _links_between(queries: DataFrame, rows: DataFrame, least: float) -> DataFrame:
-    """``id, n``: for each row of ``queries``, how many rows of its key it links with,
-    copies counted. Blocks meet blocks, and only counts leave a task."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, sums = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for one, two in zip(batch.column("asked"), batch.column("members"), strict=True):
-                (ia, _, xa), (ib, copies, xb) = (
-                    (m.field("id").to_numpy(), m.field("copies").to_numpy(), _matrix(m.field("unit"), np.float64)) for m in (one.values, two.values)
-                )
-                ids.append(ia)
-                sums.append(((xa @ xb.T >= least) & (ia[:, None] != ib[None, :])) @ copies)
-            yield pa.record_batch([pa.array(np.concatenate(ids)), pa.array(np.concatenate(sums))], names=["id", "n"])
-
-    met = _blocks(queries).select("key", F.col("members").alias("asked")).join(_blocks(rows), "key")
-    counts = met.select("asked", "members").repartition(F.xxhash64("asked.id", "members.id")).mapInArrow(count, "id bigint, n bigint")
-    return counts.groupBy("id").agg(F.sum("n").cast("bigint").alias("n"))
-
-
-def neighbour_graph(units: DataFrame, least: float, seed: int, keep: int = LIST, start: DataFrame | None = None) -> DataFrame:
-    """``id, other, sim, old``: lists refined until no list with room gains an entry of ``least``."""
-    near = least - 1e-3  # sims are in single precision here
-    size = units.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first().n or 0
-    found = _from_cells(units, size, seed, keep)
-    graph = stage(_top(found if start is None else found.union(start), keep), "graph")
-    for turn in range(ROUNDS):
-        known = graph.withColumn("old", F.lit(True))
-        graph = stage(_top(_around(graph, units, seed + turn + 1, keep).union(known), keep), "graph")
-        lists = graph.groupBy("id").agg(
-            F.count(F.lit(1)).alias("n"), F.min("sim").alias("worst"),
-            F.count_if((F.col("sim") >= near) & ~F.col("old")).alias("gained"),
-        )
-        if lists.where((F.col("gained") > 0) & ((F.col("n") < keep) | (F.col("worst") < near))).isEmpty():
-            break
-    return graph
+def compared(units: DataFrame, least: float) -> DataFrame:
+    """``id, other, n`` as ``_against`` returns them, for all pairs of vectors of a label."""
+    spark = units.sparkSession
+    size = units.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("unit")).alias("width")).first()
+    parts = max(1, -(-size.n * (size.width or 0) * 8 // HELD_BYTES))
+    dealt = units.withColumn("part", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(parts)))
+    found = []
+    for part in range(parts):
+        mine = dealt.where(F.col("part") == part).select("id", "label", "copies", "unit").toArrow()
+        ids, copies = mine.column("id").to_numpy(), mine.column("copies").to_numpy()
+        x = _matrix(mine.column("unit").combine_chunks(), np.float64) if len(ids) else np.zeros((0, 0))
+        held = spark.sparkContext.broadcast({label: (ids[at], copies[at], x[at]) for label, at in _by_label(mine)})
+        asked = dealt.where(F.col("part") >= part).select("id", "label", "copies", "unit", (F.col("part") > part).alias("later"))
+        found.append(stage(asked.mapInArrow(_against(held, least), "id bigint, other bigint, n bigint"), "compared"))
+        held.destroy()
+    return spark.read.schema(found[0].schema).parquet(*(f.staged_at for f in found))
 
 
 def linked_vectors(
@@ -255,21 +176,11 @@ def linked_vectors(
 ) -> DataFrame:
     """``vec_id, n_links, component_id`` for every row of ``vectors``."""
     rows = stage(usable(vectors, vec_id, vector, label), "usable")
-    units = stage(classes(rows), "units")
-    asked = units.orderBy(F.xxhash64("id"), "id").limit(AUDIT)
-    true = stage(_links_between(
-        asked.withColumn("key", F.col("label")), units.join(asked.select("label").distinct(), "label", "left_semi").withColumn("key", F.col("label")), least
-    ), "audit")
-    graph = None
-    for attempt in range(4):
-        graph = neighbour_graph(units, least, 17 + 100 * attempt, start=graph)
-        near = graph.where(F.col("sim") >= least - 1e-3).select(F.least("id", "other").alias("low"), F.greatest("id", "other").alias("high")).distinct()
-        links = stage(_confirmed(near, units, least), "links")
-        groups = stage(connected_components(links), "groups")
-        counts = stage(_counts(graph, links, groups, units, least), "counts")
-        seen = true.join(counts, "id", "left").agg(F.sum("n").alias("all"), F.sum(F.least("n", F.coalesce("listed", F.lit(0)))).alias("got")).first()
-        if not seen.all or seen.got >= 0.95 * seen.all:
-            break
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = stage(classes(rows).repartition(tasks, "id"), "units")
+    found = compared(units, least)
+    groups = stage(connected_components(found.where("other is not null"), "id", "other"), "groups")
+    counts = stage(found.where("other is null").groupBy("id").agg(F.sum("n").cast("bigint").alias("listed")), "counts")
     copies = rows.select("id", "label", "v").distinct().join(
         rows.groupBy("label", "v").agg(F.min("id").alias("rep"), F.countDistinct("id").alias("copies")), ["label", "v"]
     ).select("id", "rep", "copies")
@@ -285,17 +196,3 @@ def linked_vectors(
     return all_ids.join(own, all_ids["vec_id"] == own["id"], "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")
     )
-
-
-def _counts(graph: DataFrame, links: DataFrame, groups: DataFrame, units: DataFrame, least: float) -> DataFrame:
-    """``id, listed``: linked vectors of each representative, copies counted."""
-    lists = graph.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("worst"))
-    full = lists.where((F.col("n") >= LIST) & (F.col("worst") >= least - 1e-3)).select("id")
-    placed = units.select("id", "copies", "unit").join(groups.select("id", F.col("component").alias("key")), "id")
-    asked = stage(placed.join(full, "id", "left_semi"), "saturated")
-    crowds = placed.join(asked.select("key").distinct(), "key", "left_semi")
-    many = stage(_links_between(asked, crowds.select("id", "copies", "unit", "key"), least), "many")
-    both = links.union(links.select("high", "low")).toDF("id", "other")
-    few = both.join(full, "id", "left_anti").join(units.select(F.col("id").alias("other"), "copies"), "other")
-    few = few.groupBy("id").agg(F.sum("copies").cast("bigint").alias("listed"))
-    return few.union(many.select("id", F.col("n").alias("listed")))

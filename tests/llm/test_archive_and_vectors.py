@@ -83,3 +83,43 @@ def test_linked_vectors(spark):
     assert Counter(tuple(r) for r in nn_descent.linked_vectors(frame).collect()) == want
     assert max(links.values()) > 40
     assert nn_descent.linked_vectors(frame.where("false")).collect() == []
+
+
+def linked_by_brute_force(rows):
+    """(id, links, component) of usable vectors with distinct ids and one length."""
+    sets, links = Sets(), Counter()
+    for label in {r[2] for r in rows}:
+        ids = [r[0] for r in rows if r[2] == label]
+        x = np.array([r[1] for r in rows if r[2] == label])
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        for i, j in np.argwhere(x @ x.T >= 0.93).tolist():
+            if i != j:
+                links[ids[i]] += 1
+                sets.join(ids[i], ids[j])
+    return {(i, links[i], sets.find(i)) for i, _, _ in rows}
+
+
+def near(rng, v, cosine):
+    """A vector at that cosine to ``v``, in a random direction."""
+    off = rng.normal(size=len(v))
+    off -= off @ v / (v @ v) * v
+    return cosine * v / np.linalg.norm(v) + np.sqrt(1 - cosine**2) * off / np.linalg.norm(off)
+
+
+def nested_groups(rng):
+    """Groups of 20 close vectors that link to one another: all lists of ten stay within a group."""
+    top = rng.normal(size=64)
+    groups = [near(rng, top, 0.968) for _ in range(30)]
+    return [(k * 100 + n, near(rng, g, 0.9995).tolist(), 0) for k, g in enumerate(groups) for n in range(20)]
+
+
+def test_groups_within_a_group_stay_linked(spark, monkeypatch):
+    rows = nested_groups(np.random.default_rng(5))
+    want = linked_by_brute_force(rows)
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    assert len({c for _, _, c in want}) == 1 and min(n for _, n, _ in want) > 20
+    assert {tuple(r) for r in nn_descent.linked_vectors(frame).collect()} == want
+    # Several parts, and products of a few rows and columns.
+    for name, value in (("HELD_BYTES", 60_000), ("ROWS", 7), ("COLUMNS", 50)):
+        monkeypatch.setattr(nn_descent, name, value)
+    assert {tuple(r) for r in nn_descent.linked_vectors(frame).collect()} == want
