@@ -123,3 +123,16 @@ def test_groups_within_a_group_stay_linked(spark, monkeypatch):
     for name, value in (("HELD_BYTES", 60_000), ("ROWS", 7), ("COLUMNS", 50)):
         monkeypatch.setattr(nn_descent, name, value)
     assert {tuple(r) for r in nn_descent.linked_vectors(frame).collect()} == want
+
+
+def test_rare_pairs_beside_a_hot_vector(spark):
+    """Pairs just above the threshold among many vectors without links; copies of one vector
+    have nearly all link ends, so that a share of ends says nothing about the pairs."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=64), 0) for i in range(4000)]
+    rows += [(10_000 + i, near(rng, rows[i][1], 0.931), 0) for i in range(600)]
+    rows += [(20_000 + i, rows[3999][1], 0) for i in range(200)]
+    want = linked_by_brute_force(rows)
+    frame = spark.createDataFrame([(i, v.tolist(), k) for i, v, k in rows], "vec_id bigint, embedding array<double>, label int")
+    found = {tuple(r) for r in nn_descent.linked_vectors(frame).collect()}
+    assert found == want and sum(n == 1 for _, n, _ in want) >= 1190
