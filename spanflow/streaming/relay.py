@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Callable
@@ -125,6 +126,17 @@ def first_events(
     )
 
 
+def late_before(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """Milliseconds up to which windows had ended for the late rows of a batch: the mark
+    of the batch before, as Spark's offset log has it, so a repeated batch finds it again."""
+    if not batch_id:
+        return 0
+    lines = spark.read.text(f"{checkpoint}/offsets/{batch_id - 1}").collect()
+    return next(
+        json.loads(r.value)["batchWatermarkMs"] for r in lines if "batchWatermarkMs" in r.value
+    )
+
+
 def relay_stream(
     records: DataFrame,
     on_close: Callable[[DataFrame, DataFrame, int], None],
@@ -132,34 +144,59 @@ def relay_stream(
     length: str = WINDOW_LENGTH,
     delay: str = LATENESS,
     heartbeats: DataFrame | None = None,
+    late: str | None = None,
 ) -> DataStreamWriter:
     """Call ``on_close(spans, summary, batch_id)`` for the windows each batch closes.
 
     A batch that closes no window does not call it. A window closes ``delay`` after its
-    end; records that come later still are counted by ``late_records``. After a
-    failure the same batch id comes again with the same rows, so a sink that
-    overwrites by batch id ends up right.
+    end; records that come later still are written, one row each with their
+    ``window_start``, to ``batch_id=...`` folders below ``late``, by default ``late`` in
+    the checkpoint. ``late_summary`` counts them. After a failure the same batch id comes
+    again with the same rows, so a sink that overwrites by batch id ends up right.
     """
+    late = late or f"{checkpoint}/late"
 
-    def close(events: DataFrame, batch_id: int) -> None:
+    def close(batch: DataFrame, batch_id: int) -> None:
         # Three branches and the summary read the batch; without this each of
         # them would read the window state again.
-        events.persist()
+        mark = late_before(batch.sparkSession, checkpoint, batch_id)
+        batch = batch.where(
+            F.col("event").isNotNull() | (F.unix_millis(F.col("window.end")) <= mark)
+        ).persist()
         try:
+            behind = batch.where("event is null").select("window.start", "arrived.*")
+            if not behind.isEmpty():
+                behind.withColumnRenamed("start", "window_start").write.mode("overwrite").parquet(
+                    f"{late}/batch_id={batch_id}"
+                )
+            events = batch.where("event is not null").select("event.*")
             if events.isEmpty():
                 return
             on_close(reconcile_unique(events), observe_relay(window_summary(events)), batch_id)
         finally:
-            events.unpersist()
+            batch.unpersist()
 
+    events = first_events(records, length, delay, heartbeats)
+    # The aggregate drops late rows unseen, so all rows pass beside it to be told apart.
+    beside = records.select(
+        F.window("arrival_ts", length).alias("window"), F.struct(*records.columns).alias("arrived")
+    )
+    both = events.select(F.struct(*events.columns).alias("event")).unionByName(
+        beside, allowMissingColumns=True
+    )
     return (
-        first_events(records, length, delay, heartbeats)
-        .writeStream.outputMode("append")
+        both.writeStream.outputMode("append")
         .foreachBatch(close)
         .option("checkpointLocation", checkpoint)
     )
 
 
+def late_summary(spark: SparkSession, late: str) -> DataFrame:
+    """``window_start, late_records``: the rows of a late table, counted."""
+    rows = spark.read.parquet(late)
+    return rows.groupBy("window_start").agg(F.count(F.lit(1)).alias("late_records"))
+
+
 def table_sink(path: str) -> Callable[[DataFrame, DataFrame, int], None]:
     """Write OTLP rows, payloads and window counters below ``path``, one folder per batch."""
 
@@ -176,7 +213,8 @@ def table_sink(path: str) -> Callable[[DataFrame, DataFrame, int], None]:
 
 
 def late_records(query: StreamingQuery) -> int:
-    """Records that came after their window had closed, as far as progress is kept."""
+    """Rows dropped late as recent progress has them, copies of an event in a task once.
+    ``late_summary`` of the late table has every record."""
     return sum(
         operator.numRowsDroppedByWatermark
         for progress in query.recentProgress

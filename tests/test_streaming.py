@@ -9,7 +9,7 @@ from spanflow.plans.reconcile import reconcile
 from spanflow.sources.stream_records import read_partitioned
 from spanflow.sources.log_batches import read_envelopes
 from spanflow.streaming.partition import partition_stream
-from spanflow.streaming.relay import late_records, relay_stream, table_sink, work_dir
+from spanflow.streaming.relay import late_records, late_summary, relay_stream, table_sink, work_dir
 from tests.helpers import CLIENT, DECORATOR, TARGET, arrivals, changed
 
 STREAM = "arrival_ts timestamp, arrival_seq string, event_id string, sequence_number string, value string"
@@ -110,6 +110,22 @@ def test_records_of_a_slow_reader_are_kept_and_later_ones_counted(spark, tmp_pat
         assert ("late" in found) == (lost == 0) and late_records(query) == lost
 
 
+def test_every_late_record_is_in_the_late_table(spark, tmp_path):
+    # Two copies of a late event in one batch, a second window, more after a restart.
+    rows = [(0, "a", CLIENT), (200, "b", CLIENT), (201, "b2", CLIENT), (202, "b3", CLIENT), (10, "late", CLIENT), (11, "late", CLIENT),
+            (70, "late2", TARGET), (203, "on time", CLIENT), (900, "c", CLIENT), (901, "c2", CLIENT), (902, "c3", CLIENT), (903, "c4", CLIENT), (204, "late3", CLIENT), (2000, "open", CLIENT)]
+    path, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "check"))
+    write_files(spark, rows[:8], path, 2)
+    run(spark, path, out, checkpoint)
+    write_files(spark, rows[8:], path + "/more", 2, first=8)
+    run(spark, path, out, checkpoint)
+    late, spans = spark.read.parquet(f"{checkpoint}/late"), spark.read.parquet(f"{out}/spans")
+    assert sorted(r.source_event_id for r in late.collect()) == ["late", "late", "late2", "late3"]
+    assert sorted(r.source_event_id for r in spans.collect()) == ["a", "b", "b2", "b3", "c", "c2", "c3", "c4", "on time"]
+    counts = late_summary(spark, f"{checkpoint}/late").orderBy("window_start").collect()
+    assert [r.late_records for r in counts] == [2, 1, 1]
+
+
 def test_logs_to_payloads_through_both_stages(spark, tmp_path):
     logs, keyed, out = (str(tmp_path / n) for n in ("logs", "keyed", "out"))
     events = [(f"e{i}", i, json.dumps(r)) for i, r in enumerate([CLIENT, TARGET, DECORATOR])]
