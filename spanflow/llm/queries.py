@@ -10,7 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanflow.llm import byte_cnn, gam, nn_descent, packing, positional_index, revisits, suffix_buckets, suffix_trees, superminhash, token_counts
+from spanflow.llm import (
+    byte_cnn, extendible_hash, gam, nn_descent, packing, periodic_runs, positional_index, revisits, rns_gemm, suffix_buckets, suffix_trees,
+    superminhash, token_counts,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +103,30 @@ def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_rns_gemm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return rns_gemm.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op12_extendible_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extendible_hash.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_maximal_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.with_planted_periods(table(spark, sf_dir, "documents")))
+    # The first run of greatest exponent: length * period of the other, multiplied crosswise.
+    better = lambda a, b: (a["length"] * b["period"]) > (b["length"] * a["period"])
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda a, b: F.when(better(b, a), b).otherwise(a))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_revisits": op1_revisits,
     "op2_neighbour_descent": op2_neighbour_descent,
@@ -111,6 +138,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_buckets": op8_suffix_buckets,
     "op9_positional_index": op9_positional_index,
     "op10_suffix_trees": op10_suffix_trees,
+    "op11_rns_gemm": op11_rns_gemm,
+    "op12_extendible_hash": op12_extendible_hash,
+    "op13_maximal_pairs": op13_maximal_pairs,
 }
 
 #: DuckDB SQL over the registered tables. Where SQL cannot express an operator (trained
@@ -210,5 +240,23 @@ kept as (
     where g.word is null group by w.doc_id
 )
 select d.doc_id, len(w) as n_words, len(w) - coalesce(k.n, 0) as n_removed, sha256(coalesce(k.text, '')) as kept_sha256 from d left join kept k using (doc_id)
+""",
+    "op11_rns_gemm": """
+with v as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as e
+    from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), a as (select * from v where vec_id % 50 = 0),
+s as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_inner_product(a.e, b.e)::bigint as score from a join v b on a.vec_id <> b.vec_id),
+p as (select anchor_id, id as positive_id, score as positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+n as (
+    select p.*, s.id as negative_id, s.score as negative_score, row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.id) as rank
+    from p join s on s.anchor_id = p.anchor_id and not s.same and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score
+)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= 3
+""",
+    "op12_extendible_hash": """
+with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents)
+select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+    doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256 from d
 """,
 }
