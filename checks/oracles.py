@@ -601,7 +601,7 @@ ORACLES: dict[str, str] = {
         "answer",
         select=(
             f"select {ROW}, source_event_id, case when short then 'UnexpectedResponseRecordCount' else error_code end as error_code,"
-            " case when short then (n - 1) || ' result entries for ' || n || ' records'"
+            " case when short then 'sent ' || n || ' records, answers: ' || (n - 1)"
             " else 'failed: ' || error_code end as error_message,"
             " short or coalesce(error_code like 'Prov%', false) as retryable from"
             " (select *, (batch_id + chunk_index) % 3 = 0 as short, count(*) over (partition by batch_id, chunk_index) as n"

@@ -464,7 +464,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The attempts of a run, written out before anything is read off them."""
     sent = requests(spark, sf_dir)
     path = relay.work_dir(spark)
-    publish.publish_with_retry(sent, put, columns=[]).write.parquet(path)
+    publish.publish_with_retry(sent, put, columns=[], together=True).write.parquet(path)
     return spark.read.parquet(path), sent
 
 

@@ -23,6 +23,8 @@ FLAT_DEPTH = 3
 DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 _HIGH, _LOW = r"\\u[dD][89abAB][0-9a-fA-F]{2}", r"\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+# A digit before an exponent of three digits, or the first of 309 digits.
+SUSPECT_NUMBER = r"[0-9](?:[eE]\+?0*+[1-9][0-9]{2}|(?<![0-9]{2})[0-9]{308})"
 # After an even number of backslashes: a high half without a low one, or the reverse.
 LONE_SURROGATE = rf"(?<!\\)(?:\\\\)*(?:{_HIGH}(?!{_LOW})|(?<!{_HIGH}){_LOW})"
 
@@ -67,7 +69,8 @@ def _exact_fractions(message: Column) -> Column:
             F.regexp_replace(t, r"(?<![0-9.eE+-])(-?[0-9]+\.0+|-0)(?![0-9.eE])", "$1E0")
         ),
     )
-    fraction = message.rlike(r"[0-9]\.0+[,\]}\s]") & (_opened(message) > FLAT_DEPTH)
+    # A search for fixed bytes costs a tenth of a pattern and leaves few texts to it.
+    fraction = message.contains(".0") & message.rlike(r"[0-9]\.0+[,\]}\s]") & (_opened(message) > FLAT_DEPTH)
     return F.when(fraction | message.rlike(r"-0[,\]}\s]"), F.array_join(spelled, "")).otherwise(message)
 
 
@@ -88,12 +91,13 @@ def _lone_surrogate(message: Column) -> Column:
 def _beyond_limits(message: Column) -> Column:
     """Whether a number is beyond the double range, or nesting deeper than 127 levels.
 
-    Cheap tests on the raw text pick suspects; only these lose their strings and are
-    looked at number by number and bracket by bracket.
+    Tests on the raw text pick suspects; only these lose their strings and are looked at
+    number by number and bracket by bracket. All messages pay for the tests, so these are
+    one pattern that starts at digits, and a search for the 64th bracket of either kind.
     """
     bare = F.regexp_replace(message, r'"(?:\\.|[^"\\])*+"', "")
     numbers = F.regexp_extract_all(bare, F.lit(r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"), F.lit(0))
-    too_large = message.rlike(r"[eE]\+?0*[1-9][0-9]{2}|[0-9]{309}") & F.exists(
+    too_large = message.rlike(SUSPECT_NUMBER) & F.exists(
         numbers, lambda n: F.abs(n.try_cast("double")) == float("inf")
     )
     steps = F.transform(
@@ -104,7 +108,11 @@ def _beyond_limits(message: Column) -> Column:
         lambda s, x: F.struct((s["now"] + x).alias("now"), F.greatest(s["most"], s["now"] + x).alias("most")),
         lambda s: s["most"],
     )
-    return too_large | ((_opened(message) > MAX_DEPTH) & (deepest > MAX_DEPTH))
+    many = F.lit(False)
+    for bracket in "{[":
+        up_to = F.substring_index(message, bracket, MAX_DEPTH // 2 + 1)
+        many |= F.octet_length(up_to) < F.octet_length(message)
+    return too_large | (many & (_opened(message) > MAX_DEPTH) & (deepest > MAX_DEPTH))
 
 
 def _unstamped(pair: Column, message: Column) -> Column:

@@ -88,6 +88,7 @@ def publish_with_retry(
     budget_ms: Callable[[], float] = lambda: float("inf"),
     pause: Callable[[float], None] | None = None,
     columns: list[str] | None = None,
+    together: bool = False,
 ) -> DataFrame:
     """Send every chunk through ``put`` and return the ledger.
 
@@ -97,7 +98,9 @@ def publish_with_retry(
     the exception's name as code, and so does a wrong number of rows.
 
     ``put`` sees the position, the event id and ``columns``; by default all of them
-    but the parsed record. A chunk has a bounded number of rows and is one group.
+    but the parsed record. A chunk has a bounded number of rows and is one group. With
+    ``together`` the rows of a chunk must stand one after the other in their partition, as
+    ``partition_batches`` leaves them; then nothing is shuffled to bring them together.
     Before another attempt ``pause`` gets the seconds to wait, with a jitter that
     follows from the ids to send again. A lost task repeats
     its calls, so ``put`` must accept a record twice; write the ledger out
@@ -156,6 +159,25 @@ def publish_with_retry(
 
     wanted = columns if columns is not None else [c for c in requests.columns if c != "record"]
     needed = list(dict.fromkeys([*ROW, "source_event_id", *wanted]))
+
+    def publish_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # The last chunk of a batch may go on in the next one.
+        rest = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            number = (rows[CHUNK] != rows[CHUNK].shift()).any(axis=1).cumsum()
+            last = number == number.iloc[-1]
+            done = [publish_chunk(chunk) for _, chunk in rows[~last].groupby(number[~last], sort=False)]
+            if done:
+                yield pd.concat(done, ignore_index=True)
+            rest = rows[last]
+        if rest is not None:
+            yield publish_chunk(rest)
+
+    if together:
+        return requests.select(*needed).mapInPandas(publish_all, LEDGER)
     return requests.select(*needed).groupBy(*CHUNK).applyInPandas(publish_chunk, LEDGER)
 
 

@@ -6,19 +6,12 @@ from checks.oracles import ORACLES
 from checks.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
-# The rest runs with ``python -m checks.compare``.
-NAMES = [
-    "linked_targets", "partition_quarantine", "record_roles", "decoded_fallbacks", "relay_summary",
-    "otlp_payloads", "hex_cleaning", "record_balance", "two_stage_spans", "chunk_10", "publish_summary", "dead_letters", "stream_reconcile",
-]
-
-
 @pytest.fixture(scope="module")
 def con():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_duckdb(spark, con, name):
     assert difference(spark, con, SMALL, name) is None
 
