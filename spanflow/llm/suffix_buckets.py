@@ -20,7 +20,8 @@ refinement as its pointer.
 
 All steps are grouped counts with partial results, written out, and joins back to them,
 of which Spark splits large keys. So a bucket that holds a third of all suffixes neither
-gathers in a task nor makes pairs.
+gathers in a task nor makes pairs. Suffixes of one text that agree in their whole run
+travel as one row with a list of places, however often a line repeats in it.
 
 A null text counts as empty; a text shorter than ``length`` keeps all bytes. Rows that
 repeat one another are copies like any other. Texts of any length work, since they are
@@ -41,7 +42,7 @@ from spanflow.llm.common import KEY, discard, segments, slices, stage, text_rows
 
 GRAM = 128
 BLOCK = 16
-_ANCHOR = "key_id bigint, key_text bigint, place bigint, lead int, spread int, gram bigint, run bigint"
+_ANCHOR = "key_id bigint, key_text bigint, places array<bigint>, lead int, spread int, gram bigint, run bigint"
 
 
 def _anchors(length: int, gram: int):
@@ -65,14 +66,20 @@ def _anchors(length: int, gram: int):
             low, high, anchor, own = start[first], start[last], anchor[first], own[first]
             lead, spread = anchor - low, high - low
             run = bytework.mix(prints.of(low, high + length) + lead.astype(np.uint64) * bytework.ODD[5])
-            source = pa.array(rows[own])
+            # Suffixes of a text that agree in their whole run are one row with many places.
+            order = np.lexsort((anchor, run, own))
+            own, anchor, run, lead, spread = own[order], anchor[order], run[order], lead[order], spread[order]
+            gram_of = grams[anchor]
+            head = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (run[1:] != run[:-1]) | (gram_of[1:] != gram_of[:-1])))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(own)).astype(np.int32)), pa.array(places[own] + anchor - at[own]))
+            source = pa.array(rows[own[head]])
             yield pa.record_batch(
                 [
-                    batch.column("key_id").take(source), batch.column("key_text").take(source),
-                    pa.array(places[own] + anchor - at[own]), pa.array(lead.astype(np.int32)),
-                    pa.array(spread.astype(np.int32)), pa.array(grams[anchor].view(np.int64)), pa.array(run.view(np.int64)),
+                    batch.column("key_id").take(source), batch.column("key_text").take(source), lists,
+                    pa.array(lead[head].astype(np.int32)), pa.array(spread[head].astype(np.int32)),
+                    pa.array(gram_of[head].view(np.int64)), pa.array(run[head].view(np.int64)),
                 ],
-                names=["key_id", "key_text", "place", "lead", "spread", "gram", "run"],
+                names=["key_id", "key_text", "places", "lead", "spread", "gram", "run"],
             )
 
     return scan
@@ -174,31 +181,32 @@ def _windows(length: int):
 
 
 def repeated_spans(keyed: DataFrame, length: int = 400, gram: int = GRAM, block: int = BLOCK) -> DataFrame:
-    """``key_id, key_text, start, end`` in bytes: stretches covered by repeated windows.
+    """``key_id, key_text, starts, size`` in bytes: where in a text stretches of ``size``
+    bytes start that repeated windows cover.
 
-    ``keyed`` has ``text`` and the columns of ``with_key``. Spans may overlap.
+    ``keyed`` has ``text`` and the columns of ``with_key``. Stretches may overlap.
     """
     if not block <= length - gram + 1:
         raise ValueError("blocks must be shorter than the run of an anchor")
     scanned = stage(keyed.mapInArrow(_anchors(length, gram), _ANCHOR), "anchors")
     buckets = scanned.groupBy("gram").agg(
-        F.count(F.lit(1)).alias("n"), F.min("run").alias("low_run"), F.max("run").alias("high_run")
+        F.sum(F.size("places")).alias("n"), F.min("run").alias("low_run"), F.max("run").alias("high_run")
     ).where("n > 1")
     buckets = stage(buckets, "buckets")
     repeated = stage(
         scanned.join(buckets.select("gram", (F.col("low_run") == F.col("high_run")).alias("agreed")), "gram"), "repeated"
     )
     discard(scanned)
-    whole_run = [(F.col("place") - F.col("lead")).alias("start"), (F.col("place") - F.col("lead") + F.col("spread") + length).alias("end")]
+    whole_run = [F.transform("places", lambda p: p - F.col("lead")).alias("starts"), (F.col("spread") + length).alias("size")]
     # Within a bucket that is refined: those that agree are repeats, and one of them goes on.
     split = repeated.where("not agreed")
     kinds = split.groupBy("gram", "run").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "place")).alias("one")
+        F.sum(F.size("places")).alias("n"), F.min(F.struct(*KEY, F.get("places", F.lit(0)).alias("place"))).alias("one")
     )
     kinds = stage(kinds, "kinds")
     judged = split.join(kinds, ["gram", "run"])
     open_rows = kinds.select("gram", "run", "one.*").join(
-        split.select("gram", "run", *KEY, "place", "lead", "spread"), ["gram", "run", *KEY, "place"]
+        split.select("gram", "run", *KEY, F.get("places", F.lit(0)).alias("place"), "lead", "spread"), ["gram", "run", *KEY, "place"]
     ).dropDuplicates(["gram", "run"])
     by_text = open_rows.groupBy(*KEY).agg(F.collect_list(F.struct("place", "lead", "spread", "gram")).alias("suffixes"))
     contexts = stage(
@@ -230,21 +238,23 @@ def repeated_spans(keyed: DataFrame, length: int = 400, gram: int = GRAM, block:
     return (
         repeated.where("agreed").select(*KEY, *whole_run)
         .union(judged.where("n > 1").select(*KEY, *whole_run))
-        .union(agreed_blocks.select(*KEY, (first + F.col("low")).alias("start"), (first + F.col("high") + length).alias("end")))
-        .union(windows.join(twice, ["one", "two"]).select(*KEY, "start", (F.col("start") + length).alias("end")))
+        .union(agreed_blocks.select(*KEY, F.array(first + F.col("low")), F.col("high") - F.col("low") + length))
+        .union(windows.join(twice, ["one", "two"]).select(*KEY, F.array("start"), F.lit(length)))
     )
 
 
 def spans_of_texts(keyed: DataFrame, length: int = 400, gram: int = GRAM, block: int = BLOCK) -> DataFrame:
     """``key_id, key_text, spans`` of the texts that have repeated spans."""
     spans = repeated_spans(keyed, length, gram, block)
-    return spans.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    return spans.groupBy(*KEY).agg(F.collect_set(F.struct("starts", "size")).alias("spans"))
 
 
 def _covered(size: int, spans: list[dict]) -> np.ndarray:
     edges = np.zeros(size + 1, np.int32)
-    np.add.at(edges, [s["start"] for s in spans], 1)
-    np.add.at(edges, [s["end"] for s in spans], -1)
+    for span in spans:
+        starts = np.array(span["starts"], np.int64)
+        np.add.at(edges, starts, 1)
+        np.add.at(edges, starts + span["size"], -1)
     return np.cumsum(edges)[:-1] > 0
 
 

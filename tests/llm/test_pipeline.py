@@ -48,10 +48,11 @@ def test_stages(spark, tmp_path):
 
     before, after, _, out = kept["suffix-array repeats"]
     texts = [(k, (k[1] or "").encode()) for k in before.elements()]
-    often = Counter(t[p : p + 400] for _, t in texts for p in range(len(t) - 399))
+    size = corpus_pipeline.REPEATED_BYTES
+    often = Counter(t[p : p + size] for _, t in texts for p in range(len(t) - size + 1))
     want = Counter()
     for (i, text), t in texts:
-        hit = data.covered(len(t), 400, [p for p in range(len(t) - 399) if often[t[p : p + 400]] > 1])
+        hit = data.covered(len(t), size, [p for p in range(len(t) - size + 1) if often[t[p : p + size]] > 1])
         want[i, text if text is None else bytes(b for b, h in zip(t, hit) if not h).decode(errors="ignore")] += 1
     assert after == want != before
     assert all(r.n_chars == len(r.text) for r in out.collect() if r.text is not None)
