@@ -49,11 +49,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(gone, docs["doc_id"].cast("bigint") == gone[f"{mark}id"], "left_anti")
 
 
+#: Bytes of a repeated string: less than 50 words of any language take.
+REPEATED_BYTES, REPEATED_GRAM = 224, 64
+
+
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, less the bytes that strings of 400 bytes cover which occur elsewhere;
-    a character cut in two goes whole, and ``n_chars`` follows the text."""
+    """All documents, less the bytes that strings of ``REPEATED_BYTES`` cover which occur
+    elsewhere; a character cut in two goes whole, and ``n_chars`` follows the text."""
     mark = _fresh(docs)
-    spans = suffix_buckets.spans_of_texts(with_key(text_rows(docs)))
+    spans = suffix_buckets.spans_of_texts(with_key(text_rows(docs)), REPEATED_BYTES, REPEATED_GRAM)
     names = [f"{mark}{c}" for c in (*KEY, "spans")]
     keyed = docs.withColumns(
         {names[0]: F.coalesce(docs["doc_id"].cast("bigint"), F.lit(-(2**63))), names[1]: F.xxhash64(docs["text"].cast("string"))}
