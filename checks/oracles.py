@@ -39,6 +39,15 @@ def _u64(path: str, doc: str = "doc") -> str:
     )
 
 
+def _is(path: str, text: str) -> str:
+    return f"coalesce(({_str(path)}) = '{text}', false)"
+
+
+def _number(path: str) -> str:
+    kinds = "('UBIGINT', 'BIGINT', 'HUGEINT', 'DOUBLE')"
+    return f"(case when {_type(path)} in {kinds} then cast(json_extract_string(doc, '{path}') as double) end)"
+
+
 LINKING = "$._aws.xray.linking"
 INTERNAL = '$.attributes."aws.internal".linking'
 SERVICE = '$.resource.attributes."service.name"'
@@ -147,9 +156,9 @@ STEPS = {
         " anti join pend using (window_s, trace_id, link_span_id)"
     ),
     "emit": (
-        "select window_s, trace_id, false as is_target, source_event_id, arrival_seq,"
+        "select window_s, trace_id, false as is_target, source_event_id, arrival_s, arrival_seq,"
         " source_log_group, doc, q from ded where role = 'ordinary'"
-        " union all select window_s, trace_id, true, source_event_id, arrival_seq,"
+        " union all select window_s, trace_id, true, source_event_id, arrival_s, arrival_seq,"
         " source_log_group, doc, q from best"
     ),
 }
@@ -266,6 +275,7 @@ STEPS["led"] = (
     " from answer where attempt = 1 or c = 0 and attempt = 2 or c = 1"
 )
 ROW = "batch_id, chunk_index, position"
+EMISSION = f"window_s, trace_id, is_target, case when is_target then {SPAN_ID} end nulls first, arrival_s, arrival_seq"
 
 SUMMARY = (
     "select d.window_s as window_start, r.n - d.n as deduped_source_events, d.traces as aggregated_traces,"
@@ -302,6 +312,19 @@ ORACLES: dict[str, str] = {
             f" or {DECORATOR})"
         ),
     ),
+    "filter_patterns": sql(
+        "parsed",
+        select=(
+            f"select {EVENT}, {_is('$.kind', 'SERVER')} and {_number('$.attributes.\"http.status_code\"')} >= 203 is true as server_errors,"
+            f" ({_str('$.name')}) like 'op-%' is true or {_is('$.status.code', 'ERROR')} as named_or_failed,"
+            f" ({_true('$.attributes.ok')} or {_type('$.parentSpanId')} is null) and"
+            f" {_type('$.flags')} is not null and ({_number('$.flags')} = 258) is not true as roots,"
+            f" ({_number('$.links[0].flags')} = 256) is true and ({_type('$.endTimeUnixNano')} = 'NULL') is true"
+            f" and ({_type('$.name')} is not null and {_type('$.scope.name')} is not null or {_is('$.name', '')}) as open_parents,"
+            f" regexp_matches({_str('$.name')}, '^op-[135]$') is true and ({_number('$.attributes.ratio')} < 17.5) is true"
+            f" and {_true('$.attributes.tags[2].z[0]')} as odd_names from parsed where doc is not null"
+        ),
+    ),
     "partition_good": sql(
         "parsed",
         select=(
@@ -387,6 +410,13 @@ ORACLES: dict[str, str] = {
             f" from emit where ({ERROR}) is null"
         ),
     ),
+    "emission_index": sql(
+        "emit",
+        select=(
+            f"select window_s, is_target, {EVENT}, row_number() over (order by {EMISSION}) as emission_index"
+            f" from emit where ({ERROR}) is null"
+        ),
+    ),
     "otlp_scalars": sql(
         "conv",
         select=(
@@ -458,6 +488,16 @@ ORACLES: dict[str, str] = {
             f" unnest(range(cast(ceil(count(*) / 4) as bigint))) as i from emit where ({ERROR}) is null group by 1, 2)"
         ),
     ),
+    "payload_cuts": sql(
+        "emit",
+        select=(
+            "select window_s, source, byte_chunk, span_chunk, count(*) as spans, cast(sum(b) as bigint) as bytes from"
+            f" (select *, (row_number() over (partition by window_s, source, byte_chunk order by {EMISSION}) - 1) // 3 as span_chunk from"
+            f" (select *, cast(coalesce(sum(b) over (partition by window_s, source order by {EMISSION}"
+            " rows between unbounded preceding and 1 preceding), 0) as bigint) // 40 as byte_chunk from"
+            f" (select *, source_log_group as source, strlen(source_event_id) as b from emit where ({ERROR}) is null))) group by all"
+        ),
+    ),
     "otlp_payload_fields": sql(
         "conv",
         select=(

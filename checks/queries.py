@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spanflow.functions import otlp
 from spanflow.functions.json import configure, strict_array, strict_str, with_document
 from spanflow.functions.links import link_span_id, link_trace_id, normalize_links
+from spanflow.functions.patterns import filter_pattern
 from spanflow.functions.records import (
     classify_record,
     decorator_links,
@@ -82,6 +83,23 @@ def subscription_filtered(spark, sf_dir):
     return partition.subscription_scan(events(spark, sf_dir)).select(*EVENT)
 
 
+# Filter patterns beside the default one; the names are columns of ``filter_patterns``.
+PATTERNS = {
+    "server_errors": "{ $.kind = \"SERVER\" && $.attributes.['http.status_code'] >= 203 }",
+    "named_or_failed": "{ $.name = \"op-*\" || $.status.code = ERROR }",
+    "roots": "{ ($.attributes.ok IS TRUE || $.parentSpanId NOT EXISTS) && $.flags != 258 }",
+    "open_parents": "{ $.links[0].flags = 256 && $.endTimeUnixNano IS NULL && ($.name = * && $.scope.name EXISTS || $.name = \"\") }",
+    "odd_names": "{ $.name = %^op-[135]$% && $.attributes.ratio < 1.75e1 && $.attributes.tags[2].z[0] IS TRUE }",
+}
+
+
+def filter_patterns(spark, sf_dir):
+    """Which patterns let a message through; messages that are not JSON pass none."""
+    documents = with_document(events(spark, sf_dir), F.col("message"), "record").where("record is not null")
+    tests = {name: filter_pattern(text)(F.col("record")) for name, text in PATTERNS.items()}
+    return documents.select(*EVENT, *[test.alias(name) for name, test in tests.items()])
+
+
 def partition_good(spark, sf_dir):
     return partition.good_records(parsed(spark, sf_dir)).select(*EVENT, "trace_id")
 
@@ -222,6 +240,13 @@ def emitted_spans_ordered(spark, sf_dir):
     )
 
 
+def emission_index(spark, sf_dir):
+    found = reconcile.with_emission_index(export.convertible(spans(spark, sf_dir)))
+    return found.select(
+        epoch("window_start").alias("window_s"), "is_target", *EVENT, "emission_index"
+    )
+
+
 # OTLP side. Conversion is row-local, so these run on every good record.
 
 
@@ -310,6 +335,15 @@ def otlp_payloads(spark, sf_dir):
     )
 
 
+def payload_cuts(spark, sf_dir):
+    """Payloads of at most 3 spans, cut at every 40 bytes of event ids, so that both cuts show."""
+    texts = export.otlp_json(export.otlp_rows(spans(spark, sf_dir)))
+    packed = export.compact_payloads(texts, 3, 40, F.octet_length("source_event_id"))
+    return packed.select(
+        epoch("window_start").alias("window_s"), "source", "byte_chunk", "span_chunk", "spans", "bytes"
+    )
+
+
 def otlp_payload_fields(spark, sf_dir):
     """One payload per span, written as text and read back."""
     rows = export.otlp_rows(
@@ -628,6 +662,7 @@ def stream_reconcile(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "linked_targets": linked_targets,
     "subscription_filtered": subscription_filtered,
+    "filter_patterns": filter_patterns,
     "partition_good": partition_good,
     "partition_quarantine": partition_quarantine,
     "record_fields": record_fields,
@@ -642,6 +677,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unlinked_targets": unlinked_targets,
     "late_decorators": late_decorators,
     "emitted_spans_ordered": emitted_spans_ordered,
+    "emission_index": emission_index,
     "otlp_scalars": otlp_scalars,
     "otlp_attributes": otlp_attributes,
     "otlp_resource_attributes": otlp_resource_attributes,
@@ -649,6 +685,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "otlp_links": otlp_links,
     "otlp_convert_errors": otlp_convert_errors,
     "otlp_payloads": otlp_payloads,
+    "payload_cuts": payload_cuts,
     "otlp_payload_fields": otlp_payload_fields,
     "hex_cleaning": hex_cleaning,
     "log_scan": log_scan,

@@ -7,17 +7,16 @@ from pyspark.sql import functions as F
 
 from spanflow.functions.json import (
     field,
-    present,
     strict_array,
     strict_object,
     strict_str,
     strict_true,
 )
+from spanflow.functions.patterns import DEFAULT_PATTERN, filter_pattern
 
 # Record fields and marker texts of the span log format.
 SERVICE_NAME = "service.name"
 LOCAL_SERVICE = "aws.local.service"
-IN_PROGRESS = "aws.xray.inprogress"
 DECORATOR_TYPE = "managed_link"
 DEFAULT_LOG_GROUP = "aws/spans"
 
@@ -82,13 +81,10 @@ def record_richness(record: Column) -> Column:
     return total
 
 
-def subscription_filter(record: Column) -> Column:
-    """Span of a known service that is not in progress, or a link decorator."""
-    known = present(record, f"$.resource.attributes['{SERVICE_NAME}']") | present(
-        record, f"$.attributes['{LOCAL_SERVICE}']"
-    )
-    running = present(record, f"$.attributes['{IN_PROGRESS}']")
-    return (known & ~running) | is_managed_link_decorator(record)
+def subscription_filter(record: Column, pattern: str = DEFAULT_PATTERN) -> Column:
+    """Whether a filter pattern lets the record through. The default one does so for spans
+    of a known service that are not in progress, and for link decorators."""
+    return filter_pattern(pattern)(record)
 
 
 def classify_record(record: Column) -> Column:

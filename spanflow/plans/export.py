@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from spanflow.functions import otlp
 from spanflow.functions.json import json_quote, once, strict_array
+from spanflow.operators.ranking import ID, in_order, with_sum_before
+from spanflow.operators.staging import work_dir, written
 
 CONTENT_TYPE = "application/json"
 CARRIED = [
@@ -133,42 +135,47 @@ def _payload_columns(payload: Column) -> list[Column]:
 
 
 MAX_PAYLOAD_SPANS = 512
-# Slices that the spans of a window and source are ranked in.
-PAYLOAD_SLICES = 64
+MAX_PAYLOAD_BYTES = 1 << 20
+
+
+def payload_cuts(
+    texts: DataFrame, max_spans: int = MAX_PAYLOAD_SPANS, max_bytes: int = MAX_PAYLOAD_BYTES, size: Column | None = None
+) -> DataFrame:
+    """``texts`` with their ``_ordered_id``, ``byte_chunk`` and ``span_chunk``.
+
+    Spans of a window and source stand in emission order. A span belongs to the byte chunk
+    in whose ``max_bytes`` its first byte lies, so a chunk goes over that by less than its
+    last span; inside it every ``max_spans`` spans make a span chunk. Only keys and sizes
+    are ordered and summed, by ranges, so a window and source of any size is spread; the
+    texts, written once, join when the chunks are known. ``size`` of a span is by default
+    the bytes of its text.
+    """
+    group = ["window_start", "source"]
+    size = F.octet_length("span") if size is None else size
+    numbered = texts.withColumns({"bytes": size.cast("bigint"), "_text": F.monotonically_increasing_id()})
+    stored = written(numbered, work_dir(texts.sparkSession))
+    target = F.when(F.col("is_target"), F.col("link_span_id"))
+    keys = stored.select(*group, "trace_id", "is_target", target.alias("target"), "arrival_ts", "arrival_seq", "source_event_id", "bytes", "_text")
+    order = [F.col(c) for c in keys.columns[:-2]]
+    summed = with_sum_before(in_order(keys, order), group, "bytes", "before")
+    chunked = summed.withColumn("byte_chunk", F.floor(F.col("before") / max_bytes))
+    # A byte chunk is bounded, so its spans may be ranked together.
+    rank = F.row_number().over(Window.partitionBy(*group, "byte_chunk").orderBy(ID))
+    chunked = chunked.withColumn("span_chunk", F.floor((rank - 1) / max_spans))
+    return stored.join(chunked.select("_text", ID, "byte_chunk", "span_chunk"), "_text").drop("_text")
 
 
 def compact_payloads(
-    texts: DataFrame, max_spans: int = MAX_PAYLOAD_SPANS, slices: int = PAYLOAD_SLICES
+    texts: DataFrame, max_spans: int = MAX_PAYLOAD_SPANS, max_bytes: int = MAX_PAYLOAD_BYTES, size: Column | None = None
 ) -> DataFrame:
-    """Spans of a window and source packed into payloads of ``max_spans``, the last one aside.
+    """Spans of a window and source packed into payloads, cut as ``payload_cuts`` says.
 
-    Inside a payload spans stand under their resource and scope, in emission order.
-    Spans are numbered inside fixed slices, and the counts of the slices before give
-    the offset, so no task ranks a whole group, and which spans share a payload depends
-    on their window and source alone.
+    Inside a payload spans stand under their resource and scope, in emission order, and
+    ``byte_chunk, span_chunk`` order the payloads of a window and source the same way.
     """
-    group = ["window_start", "source"]
-    spread = texts.withColumn(
-        "_slice", F.pmod(F.xxhash64("source_event_id", "arrival_seq"), F.lit(slices))
-    )
-    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        spread.groupBy(*group, "_slice")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
-    emission = ["trace_id", "is_target", "_target", "arrival_ts", "arrival_seq"]
-    spread = spread.withColumn("_target", F.when(F.col("is_target"), F.col("link_span_id")))
-    rank = F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*emission, "source_event_id"))
-    number = F.col("_offset") + F.col("_rank") - 1
-    numbered = (
-        spread.withColumn("_rank", rank)
-        .join(offsets, [*group, "_slice"])
-        .withColumn("_chunk", F.floor(number / max_spans))
-    )
-    chunk = [*group, "_chunk"]
-    spans = F.sort_array(F.collect_list(F.struct(*emission, "span")))
+    numbered = payload_cuts(texts, max_spans, max_bytes, size)
+    chunk = ["window_start", "source", "byte_chunk", "span_chunk"]
+    spans = F.sort_array(F.collect_list(F.struct(ID, "span")))
 
     def texts_of(column: str, name: str) -> Column:
         return F.array_join(F.sort_array(F.collect_list(column)), ",").alias(name)
@@ -177,6 +184,7 @@ def compact_payloads(
         numbered.groupBy(*chunk, "resource", "scope")
         .agg(
             F.count(F.lit(1)).alias("spans"),
+            F.sum("bytes").alias("bytes"),
             F.concat(
                 F.lit('{"scope":'), F.col("scope"), F.lit(',"spans":['),
                 F.array_join(F.transform(spans, lambda s: s["span"]), ","), F.lit("]}"),
@@ -185,7 +193,7 @@ def compact_payloads(
     )
     resources = (
         scopes.groupBy(*chunk, "resource")
-        .agg(F.sum("spans").alias("spans"), texts_of("scope_spans", "scope_spans"))
+        .agg(F.sum("spans").alias("spans"), F.sum("bytes").alias("bytes"), texts_of("scope_spans", "scope_spans"))
         .withColumn(
             "resource_spans",
             F.concat(
@@ -196,9 +204,9 @@ def compact_payloads(
     )
     return (
         resources.groupBy(*chunk)
-        .agg(F.sum("spans").alias("spans"), texts_of("resource_spans", "resource_spans"))
+        .agg(F.sum("spans").alias("spans"), F.sum("bytes").alias("bytes"), texts_of("resource_spans", "resource_spans"))
         .select(
-            "window_start", "source", "spans",
+            *chunk, "spans", "bytes",
             *_payload_columns(
                 F.concat(F.lit('{"resourceSpans":['), F.col("resource_spans"), F.lit("]}"))
             ),

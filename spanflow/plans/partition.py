@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanflow.functions.json import json_quote, parse_message, with_document
+from spanflow.functions.patterns import DEFAULT_PATTERN
 from spanflow.functions.records import subscription_filter, trace_id_of_record
 
 REASON_BAD_JSON = "bad_json"
@@ -26,11 +27,11 @@ def parse_log_events(events: DataFrame) -> DataFrame:
     )
 
 
-def subscription_scan(events: DataFrame) -> DataFrame:
-    """Only the log events that the source-side filter lets through."""
+def subscription_scan(events: DataFrame, pattern: str = DEFAULT_PATTERN) -> DataFrame:
+    """Only the log events whose message is JSON that the filter pattern lets through."""
     parsed = with_document(events, F.col("message"), "_record")
     return parsed.where(
-        F.coalesce(subscription_filter(F.col("_record")), F.lit(False))
+        F.col("_record").isNotNull() & subscription_filter(F.col("_record"), pattern)
     ).drop("_record")
 
 

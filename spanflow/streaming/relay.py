@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from spanflow.functions.json import configure
 from spanflow.operators.linking import with_roles
+from spanflow.operators.staging import work_dir
 from spanflow.operators.windows import ARRIVAL, WINDOW_LENGTH
 from spanflow.plans.export import (
     compact_payloads,
@@ -41,14 +40,6 @@ def configure_stream(spark: SparkSession) -> SparkSession:
     return configure(spark)
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder, or its warehouse."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir", "spark-warehouse"
-    )
-    return os.path.join(shared, f"run-{uuid.uuid4().hex}")
-
-
 def kafka_records(
     spark: SparkSession, servers: str, topic: str, rate: int | None = None
 ) -> DataFrame:

@@ -252,3 +252,31 @@ def test_values_keep_their_type_at_any_depth(spark):
     for text, got in zip(cases, found):
         want = converted(json.loads(text, parse_int=lambda t: -0.0 if t == "-0" else int(t))["attributes"]["a"])
         assert repr(json.loads(got)) == repr(want), text
+
+
+def test_filter_patterns(spark):
+    from spanflow.functions.patterns import DEFAULT_PATTERN, filter_pattern
+
+    docs = [
+        '{"a":{"b c":5,"d":["x",{"y":"op-1"}]},"t":true,"z":null,"s":"5"}',
+        '{"a":{"b c":5.0,"d":[]},"t":"true","s":"a\\"b*c"}',
+        '{"a":{"b c":"5"},"t":false,"n":12345678901234567890123}',
+        '{"a":1,"resource":{"attributes":{"service.name":null}}}',
+        '{"_aws":{"xray":{"decorator_type":"managed_link"}},"attributes":{"aws.xray.inprogress":false}}',
+        '{"attributes":{"aws.local.service":"x","aws.xray.inprogress":0}}',
+    ]
+    patterns = {
+        "{ $.a.['b c'] = 5 }": [0, 1], '{ $.a["b c"] != 5 }': [2], "{$.a.['b c'] >= 5 && $.t IS TRUE}": [0], "{ $.t IS FALSE }": [2],
+        "{ $.a.d[1].y = op-* }": [0], '{ $.a.d[1].y = "*-1" || $.s = "5" }': [0], "{ $.s = 5 }": [], '{ $.s = "a\\"b*" }': [1],
+        "{ $.z IS NULL }": [0], "{ $.z = * }": [0], "{ $.z EXISTS && $.q NOT EXISTS }": [0], "{ $.n > 1e22 }": [2], "{ $.t = %^tr% }": [1],
+        "{ $.a.d = * && ($.s = 5 || $.s = %b%) || $.a = 1 }": [1, 3], "{ $.t != \"x\" }": [0, 1, 2], DEFAULT_PATTERN: [3, 4],
+        "{ $.s != \"5\" }": [1],
+    }
+    frame = documents(spark, *docs)
+    for text, want in patterns.items():
+        test = filter_pattern(text)(F.col("record"))
+        rows = frame.select("n", test.alias("holds")).orderBy("n").collect()
+        assert [r.n for r in rows if r.holds] == want and all(r.holds is not None for r in rows), text
+    for wrong in ("$.a = 1", "{ }", "{ $.a }", "{ $.a = }", "{ ($.a = 1 }", "{ $.a = 1 $.b = 2 }", "{ a = 1 }", "{ $.a < x }", "{ $.a = 1) }", "{ $.a && $.b = 1 }"):
+        with pytest.raises(ValueError):
+            filter_pattern(wrong)

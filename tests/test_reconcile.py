@@ -202,11 +202,14 @@ def test_payloads_hold_every_span_once(spark):
     text = otlp_json(otlp_rows(reconcile(arrivals(spark, rows))))
     singles = [payload_spans(r.payload)[0][2]["spanId"] for r in single_payloads(text).collect()]
     assert sorted(singles) == sorted(f"{i:016x}" for i in range(120))
-    for slices in (64, 1):
-        packed = compact_payloads(text, max_spans=16, slices=slices).collect()
+    sizes = {r.source_event_id: len(r.span.encode()) for r in text.collect()}
+    largest, total = max(sizes.values()), sum(sizes.values())
+    for most_spans, most_bytes in ((16, 1 << 20), (1000, 2000), (4, 2000), (1000, 1)):
+        packed = compact_payloads(text, most_spans, most_bytes).collect()
         spans = [s for r in packed for s in payload_spans(r.payload)]
-        assert sorted(s[2]["spanId"] for s in spans) == sorted(singles)
-        assert all(r.spans == len(payload_spans(r.payload)) <= 16 for r in packed)
+        assert sorted(s[2]["spanId"] for s in spans) == sorted(singles) and sum(r.bytes for r in packed) == total
+        assert all(r.spans == len(payload_spans(r.payload)) <= most_spans and r.bytes < most_bytes + largest for r in packed)
+        assert len(packed) <= total // most_bytes + 120 // most_spans + 4
         assert all(s[0]["attributes"][0]["key"] == "service.name" for s in spans)
     whole = compact_payloads(text).collect()
     assert len(whole) == 2 and {len(json.loads(r.payload)["resourceSpans"]) for r in whole} == {3}
