@@ -8,7 +8,7 @@ shadowed key the data contains is removed from the text beforehand.
 from __future__ import annotations
 
 from checks.queries import HEX_SPELLINGS
-from spanflow.plans.metrics import ROLES
+from spanflow.plans.metrics import RELAY_COUNTERS, ROLES
 from spanflow.sources.derived import SHADOWED_NAME, duckdb_events_sql
 
 EVENT = "source_event_id, arrival_seq"
@@ -292,6 +292,15 @@ SUMMARY = (
 
 LINK_TEXT = "string_agg(t || ':' || s || ':' || json_extract_string(link, '$.flags'), ',' order by t, s, pos)"
 
+PUBLISHED = (
+    "select count(*) filter (outcome = 'published') as published_records,"
+    " count(distinct source_event_id) filter (outcome = 'retried') as retried_records,"
+    " (select count(distinct source_event_id) from (select source_event_id from led where attempt > 1"
+    " group by batch_id, chunk_index, attempt, source_event_id having bool_and(outcome = 'published'))) as recovered_on_retry,"
+    " count(*) filter (outcome = 'dead') as sent_to_failure_queue, cast(0 as bigint) as failure_queue_send_failures,"
+    " count(distinct (batch_id, chunk_index, attempt)) as publish_attempts from led"
+)
+
 ORACLES: dict[str, str] = {
     "linked_targets": sql(
         "best", "pend", "final_link",
@@ -587,17 +596,7 @@ ORACLES: dict[str, str] = {
     ),
     "two_stage_spans": sql("emit", select="select window_s, trace_id, is_target, source_event_id from emit"),
     "publish_ledger": sql("led", select="select * from led"),
-    "publish_summary": sql(
-        "led",
-        select=(
-            "select count(*) filter (outcome = 'published') as published_records,"
-            " count(distinct source_event_id) filter (outcome = 'retried') as retried_records,"
-            " (select count(distinct source_event_id) from (select source_event_id from led where attempt > 1"
-            " group by batch_id, chunk_index, attempt, source_event_id having bool_and(outcome = 'published'))) as recovered_on_retry,"
-            " count(*) filter (outcome = 'dead') as sent_to_failure_queue, cast(0 as bigint) as failure_queue_send_failures,"
-            " count(distinct (batch_id, chunk_index, attempt)) as publish_attempts from led"
-        ),
-    ),
+    "publish_summary": sql("led", select=PUBLISHED),
     "retry_subset": sql(
         "led",
         select=f"select {ROW}, source_event_id from led where attempt = 1 and outcome = 'retried'",
@@ -669,4 +668,31 @@ ORACLES: dict[str, str] = {
             f" using ({EVENT}, window_s, is_target)"
         ),
     ),
+    "open_window_state": sql(
+        "ded",
+        select=(
+            "select window_s as window_start, count(*) as events, cast(sum(strlen(message)) as bigint) as state_bytes from ded"
+            " where window_s + 60 > (select max(arrival_s) from ev) - 300 group by 1"
+        ),
+    ),
+    "relay_metrics": sql(
+        "rec", "ded", "best", "emit", "pend",
+        select=(
+            f"select * from (unpivot (select count(*) as windows, {', '.join(f'cast(sum({c}) as bigint) as {c}' for c in RELAY_COUNTERS)}"
+            f" from ({SUMMARY})) on columns(*) into name counter value total), (select 'relay' as stage)"
+            " union all select counter, total, 'emit' from (unpivot (select cast(sum(emitted_spans) as bigint) as telemetry_items_count,"
+            f" cast(sum(emitted_trace_ids) as bigint) as emitted_trace_ids_count from ({SUMMARY})) on columns(*) into name counter value total)"
+        ),
+    ),
+    "partition_metrics": sql(
+        "ev", "rec", "led", "sent",
+        select=(
+            "select 0 as batch_id, 'aws/spans' as log_group, (select count(*) from ev) as input_records, (select count(*) from rec) as publishable_records,"
+            " (select count(*) from ev) - (select count(*) from rec) as malformed_records,"
+            " (select count(distinct (batch_id, chunk_index)) from sent) as publish_batches, *"
+            " replace ((select count(*) from (select count(*) as n from (select *, (row_number() over (partition by batch_id, chunk_index"
+            " order by attempt, position) - 1) // 10 as send_index from led where outcome = 'dead') group by batch_id, chunk_index, send_index)"
+            " where n = 10) as failure_queue_send_failures) rename (published_records as published_to_stream) from (" + PUBLISHED + ")"
+        ),
+    ),
 }

@@ -23,12 +23,13 @@ from spanflow.functions.records import (
     trace_id_of_record,
 )
 from spanflow.operators import linking
+from spanflow.operators.staging import work_dir
 from spanflow.operators.windows import dedupe_counts, dedupe_events, tumbling_window
 from spanflow.functions.retry import is_retryable_error
 from spanflow.plans import export, metrics, partition, publish, reconcile
 from spanflow.sources import derived, log_batches, stream_records
 from spanflow.streaming import relay
-from spanflow.streaming.partition import partition_stream
+from spanflow.streaming.partition import partition_stream, publishing_stream
 
 EVENT = ["source_event_id", "arrival_seq"]
 
@@ -497,7 +498,7 @@ def put(chunk, attempt):
 def ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The attempts of a run, written out before anything is read off them."""
     sent = requests(spark, sf_dir)
-    path = relay.work_dir(spark)
+    path = work_dir(spark)
     publish.publish_with_retry(sent, put, columns=[], together=True).write.parquet(path)
     return spark.read.parquet(path), sent
 
@@ -538,7 +539,7 @@ def replayed_records(spark, sf_dir):
     """Live records joined by the dead letters of the publish step."""
     attempts, sent = ledger(spark, sf_dir)
     columns = ["source_log_group", "source_event_id", "trace_id", "message", "record"]
-    path = relay.work_dir(spark)
+    path = work_dir(spark)
     publish.write_dead_letters(publish.dead_letters(attempts, sent, "span-stream"), path)
     replayed = publish.replay_dead_letters(publish.read_dead_letters(spark, path))
     return (
@@ -588,35 +589,36 @@ def record_balance(spark, sf_dir):
 
 
 def heartbeats(spark: SparkSession) -> DataFrame:
-    path = relay.work_dir(spark)
+    path = work_dir(spark)
     beat = spark.sql("select timestamp'2100-01-01' as arrival_ts")
     beat.write.parquet(path)
     return spark.readStream.schema(beat.schema).parquet(path)
 
 
-def _relay(spark: SparkSession, frame: DataFrame, on_close) -> None:
-    stream = relay.relay_stream(
-        stream_records.fill_log_group(frame), on_close, relay.work_dir(spark), heartbeats=heartbeats(spark)
-    )
-    stream.trigger(availableNow=True).start().awaitTermination()
+def decoded(rows: DataFrame) -> DataFrame:
+    """Keyed records of the rows of a stream."""
+    return stream_records.fill_log_group(partition.good_records(partition.parse_log_events(derived.as_events(rows))))
 
 
-def _run_stream(spark: SparkSession, sf_dir: str, on_close) -> None:
+def _run_stream(spark: SparkSession, sf_dir: str, on_close, beats: bool = True, metrics: str | None = None) -> str:
+    """Runs the relay over all rows; returns its checkpoint."""
     relay.configure_stream(spark)
-    _relay(
-        spark,
-        partition.good_records(partition.parse_log_events(derived.log_event_stream(spark, sf_dir))),
-        on_close,
+    checkpoint = work_dir(spark)
+    stream = relay.relay_stream(
+        derived.log_row_stream(spark, sf_dir), on_close, checkpoint, heartbeats=heartbeats(spark) if beats else None,
+        decode=decoded, size=F.octet_length("message"), metrics=metrics,
     )
+    stream.trigger(availableNow=True).start().awaitTermination()
+    return checkpoint
 
 
 def two_stage_spans(spark, sf_dir):
     """Envelopes through both streams: log batches to keyed records to reconciled spans."""
     relay.configure_stream(spark)
-    logs, keyed, out = relay.work_dir(spark), relay.work_dir(spark), relay.work_dir(spark)
+    logs, keyed, out = work_dir(spark), work_dir(spark), work_dir(spark)
     derived.log_batches(spark, sf_dir).drop("batch_id").write.json(logs)
     first = partition_stream(
-        log_batches.read_envelopes(spark, logs, streaming=True), keyed, relay.work_dir(spark),
+        log_batches.read_envelopes(spark, logs, streaming=True), keyed, work_dir(spark),
         arrival=F.timestamp_seconds("event_timestamp"),
     )
     first.trigger(availableNow=True).start().awaitTermination()
@@ -628,13 +630,16 @@ def two_stage_spans(spark, sf_dir):
             epoch("window_start").alias("window_s"), "trace_id", "is_target", "source_event_id"
         ).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    _relay(spark, stream_records.read_partitioned(stream), write)
+    relayed = relay.relay_stream(
+        stream, write, work_dir(spark), heartbeats=heartbeats(spark), decode=stream_records.read_partitioned
+    )
+    relayed.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
 
 
 def stream_windows(spark, sf_dir):
     """Counters of every window that closed."""
-    path = relay.work_dir(spark)
+    path = work_dir(spark)
 
     def write(_spans: DataFrame, summary: DataFrame, batch_id: int) -> None:
         summary.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -646,7 +651,7 @@ def stream_windows(spark, sf_dir):
 
 def stream_reconcile(spark, sf_dir):
     """Spans of every window that closed, with their links after the merge."""
-    path = relay.work_dir(spark)
+    path = work_dir(spark)
 
     def write(spans_: DataFrame, _summary: DataFrame, batch_id: int) -> None:
         links = F.coalesce(F.col("merged_links"), strict_array(F.col("record"), "$.links"))
@@ -659,6 +664,42 @@ def stream_reconcile(spark, sf_dir):
     return spark.read.parquet(path).drop("batch_id")
 
 
+def open_window_state(spark, sf_dir):
+    """Without a heartbeat the last windows stay open; their state is read from the stream's."""
+    checkpoint = _run_stream(spark, sf_dir, lambda *_: None, beats=False)
+    return relay.open_windows(spark, checkpoint).withColumn("window_start", epoch("window_start"))
+
+
+def _totals(frame: DataFrame, stage: str) -> DataFrame:
+    names = [c for c in frame.columns if c != "batch_id"]
+    sums = frame.agg(*[F.sum(c).alias(c) for c in names])
+    return sums.select(F.lit(stage).alias("stage"), F.explode(F.create_map(*[x for c in names for x in (F.lit(c), F.col(c))])).alias("counter", "total"))
+
+
+def relay_metrics(spark, sf_dir):
+    """Counters that batches landed for the relay and for what it emitted, summed over batches."""
+    path = work_dir(spark)
+    _run_stream(spark, sf_dir, relay.table_sink(path), metrics=f"{path}/metrics")
+    stages = [_totals(metrics.read_metrics(spark, f"{path}/metrics", stage), stage) for stage in ("relay", "emit")]
+    return stages[0].unionByName(stages[1])
+
+
+def send(values):
+    """A queue that loses one letter of each full group."""
+    return 1 if len(values) == partition.DEAD_LETTER_CHUNK else 0
+
+
+def partition_metrics(spark, sf_dir):
+    """The eleven counters of each batch of envelopes that is published as a stream."""
+    logs, path = work_dir(spark), work_dir(spark)
+    derived.log_batches(configure(spark), sf_dir).drop("batch_id").write.json(logs)
+    stream = publishing_stream(
+        log_batches.read_envelopes(spark, logs, streaming=True), path, work_dir(spark), put, send, "span-stream", must_send=False
+    )
+    stream.trigger(availableNow=True).start().awaitTermination()
+    return metrics.read_metrics(spark, f"{path}/metrics", "partition")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "linked_targets": linked_targets,
     "subscription_filtered": subscription_filtered,
@@ -709,4 +750,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "two_stage_spans": two_stage_spans,
     "stream_windows": stream_windows,
     "stream_reconcile": stream_reconcile,
+    "open_window_state": open_window_state,
+    "relay_metrics": relay_metrics,
+    "partition_metrics": partition_metrics,
 }

@@ -228,18 +228,24 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_events(spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet")))
 
 
-def log_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``log_events`` as a stream over the table's files."""
+def log_row_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over the table's files: rows of which ``as_events`` makes log events, with
+    their ``arrival_ts``."""
     name = "lineitem.parquet"
     schema = spark.read.parquet(f"{sf_dir}/{name}").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", name)
     table = stream.parquet(sf_dir)
     cores = spark.sparkContext.defaultParallelism
-    return as_events(table.repartition(cores, *table.columns))
+    return _keys(table.repartition(cores, *table.columns)).withColumn("arrival_ts", F.timestamp_seconds(F.expr(ARRIVAL_SECONDS)))
 
 
-def as_events(lineitem: DataFrame) -> DataFrame:
-    keys = lineitem.selectExpr(*[f"{sql} as {name}" for name, sql in KEYS.items()])
+def _keys(lineitem: DataFrame) -> DataFrame:
+    return lineitem.selectExpr(*[f"{sql} as {name}" for name, sql in KEYS.items()])
+
+
+def as_events(rows: DataFrame) -> DataFrame:
+    """Log events of the table's rows, or of rows of ``log_row_stream``."""
+    keys = rows if "k" in rows.columns else _keys(rows)
     return keys.selectExpr(
         "k", "n", "p", "s", "q",
         *[f"{sql} as {name}" for name, sql in COLUMNS.items()],
