@@ -695,4 +695,16 @@ ORACLES: dict[str, str] = {
             " where n = 10) as failure_queue_send_failures) rename (published_records as published_to_stream) from (" + PUBLISHED + ")"
         ),
     ),
+    "replayed_once": sql(
+        "sent", select="select source_event_id, trace_id, cast(1 as bigint) as copies from sent group by all"
+    ),
+    "lane_traces": sql(
+        "ded",
+        select=(
+            "select window_s as window_start, trace_id, "
+            + ", ".join(f"count(*) filter (role = '{role}') as {role}" for role in ROLES)
+            + " from ded group by all"
+        ),
+    ),
+    "lane_from_latest": sql("rec", select="select source_event_id, trace_id from rec where batch_id % 2 = 1"),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,9 +27,10 @@ from spanflow.operators import linking
 from spanflow.operators.staging import work_dir
 from spanflow.operators.windows import dedupe_counts, dedupe_events, tumbling_window
 from spanflow.functions.retry import is_retryable_error
-from spanflow.plans import export, metrics, partition, publish, reconcile
+from spanflow.plans import export, lane, metrics, partition, publish, reconcile
 from spanflow.sources import derived, log_batches, stream_records
-from spanflow.streaming import relay
+from spanflow.streaming import lane as lane_stream
+from spanflow.streaming import relay, replay
 from spanflow.streaming.partition import partition_stream, publishing_stream
 
 EVENT = ["source_event_id", "arrival_seq"]
@@ -700,6 +702,52 @@ def partition_metrics(spark, sf_dir):
     return metrics.read_metrics(spark, f"{path}/metrics", "partition")
 
 
+def replayed_once(spark, sf_dir):
+    """Dead letters that were written twice, replayed twice beside the live records."""
+    attempts, sent = ledger(spark, sf_dir)
+    folder, marks, live, out = (work_dir(spark) for _ in range(4))
+    letters = publish.dead_letters(attempts, sent, "span-stream").persist()
+    for _ in range(2):
+        publish.write_dead_letters(letters, folder)
+    letters.unpersist()
+    dead = attempts.where(F.col("outcome") == publish.DEAD)
+    sent.join(dead, publish.ROW, "left_anti").select(*replay.LANE).write.parquet(live)
+    schema = spark.read.parquet(live).schema
+    for run in ("first", "second"):
+        stream = replay.replay_stream(
+            spark.readStream.schema(schema).parquet(live if run == "first" else f"{live}/none*"),
+            replay.letter_stream(spark, folder), f"{out}/{run}", marks, run, work_dir(spark),
+        )
+        stream.trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(out)
+    return found.groupBy("source_event_id", "trace_id").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def lane_traces(spark, sf_dir):
+    """Roles per trace off the bucketed lane; traces of more than two events count as hot."""
+    some = unique_events(spark, sf_dir).select("window_start", "trace_id", "source_event_id", "role")
+    name = f"lane_{uuid.uuid4().hex}"
+    lane.write_lane(some, name, work_dir(spark), buckets=8, hot=2)
+    return lane.lane_trace_aggregate(spark, name).withColumn("window_start", epoch("window_start"))
+
+
+def lane_from_latest(spark, sf_dir):
+    """Events that a reader of the lane gets who starts when half of the envelopes are there."""
+    logs, keyed, bookmark, out = (work_dir(spark) for _ in range(4))
+    checkpoint = work_dir(spark)
+    envelopes = derived.log_batches(configure(spark), sf_dir)
+    for half in (0, 1):
+        envelopes.where(F.col("batch_id") % 2 == half).drop("batch_id").write.mode("append").json(logs)
+        first = partition_stream(log_batches.read_envelopes(spark, logs, streaming=True), keyed, checkpoint, file_records=10_000)
+        first.trigger(availableNow=True).start().awaitTermination()
+        lane_stream.start_after(spark, keyed, bookmark)
+    stream = lane_stream.lane_stream(spark, keyed, bookmark, rate=20_000, file_records=10_000)
+    events_ = stream_records.read_partitioned(stream).select("source_event_id", "trace_id")
+    writer = events_.writeStream.option("checkpointLocation", work_dir(spark)).format("parquet").option("path", out)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("source_event_id string, trace_id string").parquet(out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "linked_targets": linked_targets,
     "subscription_filtered": subscription_filtered,
@@ -753,4 +801,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "open_window_state": open_window_state,
     "relay_metrics": relay_metrics,
     "partition_metrics": partition_metrics,
+    "replayed_once": replayed_once,
+    "lane_traces": lane_traces,
+    "lane_from_latest": lane_from_latest,
 }
