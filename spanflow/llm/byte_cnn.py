@@ -23,10 +23,10 @@ from spanflow.llm.common import held_out, slices, text_rows, utf8
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
-#: Labelled texts of each language to fit on, windows of each, and languages at most.
+#: Labelled texts of each language to fit on, and windows of each.
 FIT_TEXTS = 600
 FIT_WINDOWS = 3
-LANGUAGES = 256
+FIT_SLICES = 64
 
 
 class ByteNetwork:
@@ -107,34 +107,34 @@ def windows(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 def fit_languages(docs: DataFrame, fit_texts: int = FIT_TEXTS) -> ByteNetwork | None:
     """Fits on ``doc_id, text, lang`` of texts that are not held out: of each language the
-    ``fit_texts`` least by a hash of their text, from each ``FIT_WINDOWS`` windows at even
-    distances. None without labelled texts."""
+    ``fit_texts`` least by a hash of their text, copies once, from each ``FIT_WINDOWS``
+    windows at even distances. None without labelled texts.
+
+    Every language is learned; the sample that comes to the driver, at most 3 KB for each
+    text, grows with the number of languages and with nothing else.
+    """
     usable = docs.where(~held_out(F.col("doc_id"), 4, 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    chosen = usable.select("lang", F.xxhash64("text").alias("h"), F.octet_length("text").alias("size"), F.col("doc_id").alias("own_id"))
-    first = Window.partitionBy("lang").orderBy("h", "size", "own_id")
-    chosen = chosen.withColumn("n", F.row_number().over(first)).where(F.col("n") <= fit_texts)
-    # A fixed number of texts of each of a fixed number of languages: at most a few MB.
-    names = sorted(r.lang for r in chosen.select("lang").distinct().orderBy("lang").limit(LANGUAGES).collect())
-    if not names:
-        return None
-    ids = F.broadcast(chosen.where(F.col("lang").isin(names)).select("own_id", "h").distinct())
     size = F.length("text")
     cuts = [F.substring("text", F.floor(size * k / FIT_WINDOWS).cast("int") + 1, F.lit(WINDOW)) for k in range(FIT_WINDOWS)]
-    rows = (
-        usable.join(ids, (F.col("doc_id").eqNullSafe(F.col("own_id"))) & (F.xxhash64("text") == F.col("h")))
-        .select("lang", F.array_distinct(F.array(*cuts)).alias("cuts"), "h", "doc_id")
-        .orderBy("h", "doc_id", "lang")
-        .limit(len(names) * fit_texts)
-        .toArrow()
-        .to_pylist()
-    )
+    hashed = usable.select("lang", F.xxhash64("text").alias("h"), F.array_distinct(F.array(*cuts)).alias("cuts"))
+    # Of each language and slice of hashes the least, then the least of these: a language
+    # that most texts are in is ranked in many tasks, and each passes on a bounded number.
+    some = hashed.dropDuplicates(["lang", "h"]).withColumn("slice", F.pmod("h", F.lit(FIT_SLICES)))
+    for keys in (["lang", "slice"], ["lang"]):
+        first = Window.partitionBy(*keys).orderBy("h")
+        some = some.withColumn("n", F.row_number().over(first)).where(F.col("n") <= fit_texts).drop("n")
+    rows = some.orderBy("h", "lang").select("lang", "cuts").toArrow().to_pylist()
+    names = sorted({row["lang"] for row in rows})
+    if not names:
+        return None
+    number = {name: k for k, name in enumerate(names)}
     x, y = [], []
     for row in rows:
         for cut in row["cuts"]:
             data = cut.encode()[:WINDOW]
             if data:
                 x.append(np.frombuffer(data.ljust(WINDOW, b"\0"), np.uint8))
-                y.append(names.index(row["lang"]))
+                y.append(number[row["lang"]])
     return ByteNetwork(names).fit(np.stack(x), np.array(y))
 
 

@@ -5,15 +5,16 @@ latest earlier full response of the same canonical URL: an as-of join. The valid
 that the revisit repeats must agree with the response's; then the response's headers
 apply, updated by those of the revisit that a not-modified answer may change.
 
-The as-of join is done in two levels of window functions over distinct times: within
-a day and URL, and over the days of a URL. Records of one URL and second are reduced
-to one row with partial results first, so a group has at most 86,400 rows whatever the
-traffic of a URL, and no payload takes part. The answers are joined back by URL and
-time; of such a join Spark splits keys that are too large.
-
-Records with a null or empty URL or no time resolve to nothing. Of responses of one URL
-and second the one with the greatest id counts; a response in the same second as a
-revisit is not earlier. A revisit without validators is accepted; one whose validator
+The as-of join is done in three levels of window functions over distinct times: within
+a second of a URL, within a day over its seconds, and over the days of a URL. Records of
+one URL and time are reduced to one row with partial results first, so a group has at
+most 86,400 rows by second or day, and no more than the distinct times of one second
+otherwise, whatever the traffic of a URL; no payload takes part. The answers are joined
+back by URL and time; of such a join Spark splits keys that are too large.
+
+Records with a null or empty URL or no time resolve to nothing. Times count to the
+microsecond. Of responses of one URL and time the one with the greatest id counts; a
+response at the very time of a revisit is not earlier. A revisit without validators is accepted; one whose validator
 the response lacks is not. Repeated rows give repeated results.
 """
 
@@ -76,17 +77,28 @@ def _as_of(asked: DataFrame, responses: DataFrame) -> DataFrame:
         responses.select("url", "at", "record_id", F.lit(False).alias("wanted"))
         .union(asked.select("url", "at", F.lit(None).cast("bigint"), F.lit(True)))
         .groupBy("url", "at").agg(F.max("record_id").alias("record_id"), F.max("wanted").alias("wanted"))
-        .withColumn("day", F.date_trunc("day", "at"))
+        .withColumns({"second": F.date_trunc("second", "at"), "day": F.date_trunc("day", "at")})
     )
-    within = Window.partitionBy("url", "day").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    days = times.where("record_id is not null").groupBy("url", "day").agg(F.max_by("record_id", "at").alias("last"))
-    asked_days = times.where("wanted").select("url", "day").distinct()
-    over = Window.partitionBy("url").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    before = days.join(asked_days, ["url", "day"], "full").withColumn("carried", F.last("last", ignorenulls=True).over(over))
+
+    def carried(frame: DataFrame, keys: list[str], order: str, value: str, name: str) -> DataFrame:
+        """The last value before each row of its keys, or null."""
+        over = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return frame.withColumn(name, F.last(value, ignorenulls=True).over(over))
+
+    # One row for each second, then for each day: its last response, and whether one is asked for.
+    seconds = times.groupBy("url", "day", "second").agg(
+        F.max_by("record_id", F.when(F.col("record_id").isNotNull(), F.col("at"))).alias("last"), F.max("wanted").alias("wanted")
+    )
+    days = seconds.groupBy("url", "day").agg(
+        F.max_by("last", F.when(F.col("last").isNotNull(), F.col("second"))).alias("last"), F.max("wanted").alias("wanted")
+    )
+    by_time = carried(times, ["url", "second"], "at", "record_id", "same_second").where("wanted")
+    by_second = carried(seconds, ["url", "day"], "second", "last", "same_day").where("wanted")
+    by_day = carried(days, ["url"], "day", "last", "earlier").where("wanted")
     return (
-        times.withColumn("same_day", F.last("record_id", ignorenulls=True).over(within)).where("wanted")
-        .join(before.select("url", "day", "carried"), ["url", "day"], "left")
-        .select("url", "at", F.coalesce("same_day", "carried").alias("found"))
+        by_time.join(by_second.select("url", "second", "same_day"), ["url", "second"])
+        .join(by_day.select("url", "day", "earlier"), ["url", "day"])
+        .select("url", "at", F.coalesce("same_second", "same_day", "earlier").alias("found"))
     )
 
 
@@ -100,7 +112,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     """
     rows = records.select(
         F.col("record_id").cast("bigint").alias("record_id"), "kind", canonical_url(F.col("url")).alias("url"),
-        F.date_trunc("second", F.col("at").cast("timestamp")).alias("at"),
+        F.col("at").cast("timestamp").alias("at"),
         lowered(F.coalesce(F.col("headers"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))).alias("headers"),
     )
     revisits = rows.where("kind = 'revisit'")

@@ -26,7 +26,9 @@ def test_revisits(spark):
     rows = []
     for i in range(400):
         url = ["https://a.org/x", "http://www.a.org/x/", "https://b.org/y?ref=1", None, ""][rng.choice(5, p=[0.4, 0.3, 0.2, 0.05, 0.05])]
-        at = start + timedelta(seconds=int(rng.integers(0, 400_000)) // 4000 * 4000) if rng.random() > 0.03 else None
+        # Days apart, seconds apart, and apart within a second.
+        seconds, part = int(rng.integers(0, 400_000)) // 4000 * 4000, int(rng.integers(0, 4)) * 300_000
+        at = start + timedelta(seconds=seconds, microseconds=part) if rng.random() > 0.03 else None
         tag = ['"1"', 'W/"1"', '"2"', None][rng.integers(4)]
         headers = None if rng.random() < 0.05 else {k: v for k, v in (("ETag", tag), ("Content-Length", str(i)), ("X", str(i))) if v}
         rows.append((i, rng.choice(["response", "revisit", "request"]), url, at, headers, 1, "s"))
@@ -54,6 +56,23 @@ def test_revisits(spark):
     assert revisits.resolve_revisits(frame.where("false")).collect() == []
 
 
+def test_the_latest_response_within_a_second(spark):
+    start = datetime(2024, 1, 1)
+    moments = [start, start + timedelta(days=1, milliseconds=100), start + timedelta(days=1, milliseconds=900), start + timedelta(days=1, milliseconds=900)]
+    rows = [(i, "revisit" if i == 2 else "response", "http://a.org/", at, {}) for i, at in enumerate(moments)]
+    frame = spark.createDataFrame(rows, "record_id bigint, kind string, url string, at timestamp, headers map<string,string>")
+    assert revisits.resolve_revisits(frame).first().response_id == 1
+
+
+def test_a_hot_url(spark):
+    start, rng = datetime(2024, 1, 1), np.random.default_rng(3)
+    rows = [(i, "revisit" if i % 3 == 0 else "response", "http://hot.org/", start + timedelta(seconds=int(rng.integers(0, 3000)) * 90, milliseconds=int(rng.integers(0, 3))), {}) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "record_id bigint, kind string, url string, at timestamp, headers map<string,string>")
+    found = {r.record_id: r.response_id for r in revisits.resolve_revisits(frame).collect()}
+    responses = sorted((r[3], r[0]) for r in rows if r[1] == "response")
+    assert found == {i: max((x for x in responses if x[0] < at), default=(None, None))[1] for i, kind, _, at, _ in rows if kind == "revisit"}
+
+
 def test_header_names_that_clash(spark):
     frame = spark.sql("select map('ETag', 'a', 'etag', 'b', 'X', 'c') as h").select(revisits.lowered(F.col("h")).alias("h"))
     assert frame.first().h == {"etag": "b", "x": "c"}

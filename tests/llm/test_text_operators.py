@@ -249,6 +249,29 @@ def test_languages(spark, docs):
     assert {(r.lang_pred, r.score) for r in unlabelled} == {("und", 0.0)}
 
 
+def test_languages_learn_from_different_texts_of_every_language(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(byte_cnn.ByteNetwork, "fit", lambda self, x, y: seen.update(names=self.names, x=x, y=y) or self)
+    rows = [(i, "the same text", "en") for i in range(700)] + [(1000 + i, f"text number {i} " * 40, "en") for i in range(40)]
+    rows += [(2000 + 4 * i + k, "ab"[k % 2] * (i % 9 + 1), f"lang {i:03d}") for i in range(300) for k in range(4)]
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id bigint, text string, lang string, h string, n int")
+    byte_cnn.fit_languages(frame, 20)
+    assert len(seen["names"]) > 290 and "lang 299" in seen["names"]
+    english = seen["x"][seen["y"] == seen["names"].index("en")]
+    assert len(english) >= 20 and len({w.tobytes() for w in english}) > 20  # copies count once
+    assert len({x.tobytes() for x in seen["x"]}) > 40 and byte_cnn.fit_languages(frame.where("false")) is None
+
+
+def test_languages_of_odd_rows(spark):
+    """Very long texts, an id with two texts, repeated rows and columns with clashing names."""
+    rows = [(i, ["the that with " * 9, "über schön ach " * 9][i % 2] + "ab"[i % 3 == 0], ["en", "de"][i % 2], "x", 0) for i in range(80)]
+    rows += [(7, "the thing that " * 40_000, None, None, None), (7, "schön", "de", None, None), rows[3], rows[3]]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, held_out string, lettered int")
+    found = byte_cnn.languages(frame).collect()
+    assert len(found) == len(rows) and {r.lang_pred for r in found if r.doc_id == 7} == {"en", "de"}
+    assert len({(r.lang_pred, r.score) for r in found if r.doc_id == rows[3][0]}) == 1
+
+
 def test_quality(spark):
     rng = np.random.default_rng(4)
     words = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta"]
