@@ -149,8 +149,8 @@ def test_conversion_errors_are_kept_apart(spark):
 
 def test_span_fields(spark):
     (row,) = emitted(spark, [(0, "a", CLIENT)])
-    assert (row.kind, row.status_code, row.status_message, row.flags) == (3, 1, "fine", 256)
-    assert (row.scope_name, row.scope_version, row.parent_span_id_hex) == ("storage", "0.6", TARGET_SPAN)
+    assert (row.kind, row.status_code, row.status_message, row.flags) == (3, 1, "found", 3)
+    assert (row.scope_name, row.scope_version, row.parent_span_id_hex) == ("shelves", "2.1", TARGET_SPAN)
     assert int(row.end_time_unix_nano) == CLIENT["endTimeUnixNano"]
     (row,) = emitted(spark, [(0, "a", {"traceId": TRACE, "endTimeUnixNano": 2**64 - 1})])
     assert int(row.end_time_unix_nano) == 2**64 - 1 and int(row.start_time_unix_nano) == 0
