@@ -280,7 +280,7 @@ EMISSION = f"window_s, trace_id, is_target, case when is_target then {SPAN_ID} e
 SUMMARY = (
     "select d.window_s as window_start, r.n - d.n as deduped_source_events, d.traces as aggregated_traces,"
     " coalesce(e.n, 0) as emitted_spans, coalesce(e.traces, 0) as emitted_trace_ids,"
-    " coalesce(l.n, 0) as late_decorators_dropped, d.bytes as state_bytes, d.empty as empty_trace_id from"
+    " coalesce(l.n, 0) as late_decorators_dropped, d.bytes as state_bytes, d.empty as empty_trace_id, true as is_final from"
     " (select window_s, count(*) as n, count(distinct trace_id) as traces, cast(sum(strlen(message)) as bigint) as bytes,"
     " count(distinct trace_id) filter (trace_id = '') as empty from ded group by 1) d"
     " join (select window_s, count(*) as n from rec group by 1) r using (window_s)"
@@ -297,7 +297,9 @@ PUBLISHED = (
     " count(distinct source_event_id) filter (outcome = 'retried') as retried_records,"
     " (select count(distinct source_event_id) from (select source_event_id from led where attempt > 1"
     " group by batch_id, chunk_index, attempt, source_event_id having bool_and(outcome = 'published'))) as recovered_on_retry,"
-    " count(*) filter (outcome = 'dead') as sent_to_failure_queue, cast(0 as bigint) as failure_queue_send_failures,"
+    " count(*) filter (outcome = 'dead') as sent_to_failure_queue, (select count(*) from (select count(*) as n from"
+    " (select *, (row_number() over (partition by batch_id, chunk_index order by attempt, position) - 1) // 10 as send_index"
+    " from led where outcome = 'dead') group by batch_id, chunk_index, send_index) where n = 10) as failure_queue_send_failures,"
     " count(distinct (batch_id, chunk_index, attempt)) as publish_attempts from led"
 )
 
@@ -671,7 +673,7 @@ ORACLES: dict[str, str] = {
     "open_window_state": sql(
         "ded",
         select=(
-            "select window_s as window_start, count(*) as events, cast(sum(strlen(message)) as bigint) as state_bytes from ded"
+            "select window_s as window_start, count(*) as events, cast(sum(strlen(message)) as bigint) as state_bytes, false as is_final from ded"
             " where window_s + 60 > (select max(arrival_s) from ev) - 300 group by 1"
         ),
     ),
@@ -689,10 +691,8 @@ ORACLES: dict[str, str] = {
         select=(
             "select 0 as batch_id, 'aws/spans' as log_group, (select count(*) from ev) as input_records, (select count(*) from rec) as publishable_records,"
             " (select count(*) from ev) - (select count(*) from rec) as malformed_records,"
-            " (select count(distinct (batch_id, chunk_index)) from sent) as publish_batches, *"
-            " replace ((select count(*) from (select count(*) as n from (select *, (row_number() over (partition by batch_id, chunk_index"
-            " order by attempt, position) - 1) // 10 as send_index from led where outcome = 'dead') group by batch_id, chunk_index, send_index)"
-            " where n = 10) as failure_queue_send_failures) rename (published_records as published_to_stream) from (" + PUBLISHED + ")"
+            " (select count(distinct (batch_id, chunk_index)) from sent) as publish_batches, * rename (published_records as published_to_stream)"
+            " from (" + PUBLISHED + ")"
         ),
     ),
     "replayed_once": sql(

@@ -258,8 +258,13 @@ def retry_delays(ledger: DataFrame) -> DataFrame:
     )
 
 
+def unsent_letters(results: DataFrame) -> int:
+    """How many dead letters ``send_dead_letters`` could not send."""
+    return results.agg(F.coalesce(F.sum("failed"), F.lit(0))).first()[0]
+
+
 def publish_summary(ledger: DataFrame, failure_queue_send_failures: int = 0) -> DataFrame:
-    """One row of counters over a whole ledger.
+    """One row of counters over a whole ledger; ``unsent_letters`` counts failed sends.
 
     Ids are counted once however often they were retried. All steps aggregate
     before they shuffle.

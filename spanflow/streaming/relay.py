@@ -209,14 +209,14 @@ def relay_stream(
 
 
 def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """``window_start, events, state_bytes`` of the windows that are still open, as the
-    window state of a stream has them after its last batch."""
+    """``window_start, events, state_bytes, is_final`` of the windows that are still open,
+    as the window state of a stream has them after its last batch."""
     state = spark.read.format("statestore").option("operatorId", 0).load(checkpoint)
     # The one aggregate that is a struct holds the first arrival.
     first = next(f.name for f in state.schema["value"].dataType if "bytes" in getattr(f.dataType, "names", ()))
     rows = state.select(F.col("key")[state.schema["key"].dataType[0].name]["start"].alias("window_start"), F.col("value")[first]["bytes"].alias("bytes"))
     return rows.where("bytes is not null").groupBy("window_start").agg(
-        F.count(F.lit(1)).alias("events"), F.sum("bytes").alias("state_bytes")
+        F.count(F.lit(1)).alias("events"), F.sum("bytes").alias("state_bytes"), F.lit(False).alias("is_final")
     )
 
 
