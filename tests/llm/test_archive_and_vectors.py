@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import numpy as np
 from pyspark.sql import functions as F
 
-from spanflow.llm import nn_descent, revisits
+from spanflow.llm import common, nn_descent, revisits
 from tests.llm.data import Sets
 
 SPELLINGS = [
@@ -139,7 +139,7 @@ def test_groups_within_a_group_stay_linked(spark, monkeypatch):
     assert len({c for _, _, c in want}) == 1 and min(n for _, n, _ in want) > 20
     assert {tuple(r) for r in nn_descent.linked_vectors(frame).collect()} == want
     # Several parts, and products of a few rows and columns.
-    for name, value in (("HELD_BYTES", 60_000), ("ROWS", 7), ("COLUMNS", 50)):
+    for name, value in (("PART_ROWS", 90), ("ROWS", 7), ("COLUMNS", 50)):
         monkeypatch.setattr(nn_descent, name, value)
     assert {tuple(r) for r in nn_descent.linked_vectors(frame).collect()} == want
 
@@ -155,3 +155,23 @@ def test_rare_pairs_beside_a_hot_vector(spark):
     frame = spark.createDataFrame([(i, v.tolist(), k) for i, v, k in rows], "vec_id bigint, embedding array<double>, label int")
     found = {tuple(r) for r in nn_descent.linked_vectors(frame).collect()}
     assert found == want and sum(n == 1 for _, n, _ in want) >= 1190
+
+
+def test_the_neighbour_graph_alone_finds_the_links(spark, caplog):
+    """Recall of the lists against brute force; the audit logs it, and blocks are few."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=32), i % 3) for i in range(1500)]
+    rows += [(5000 + i, near(rng, rows[i % 300][1], 0.94), rows[i % 300][2]) for i in range(900)]
+    frame = spark.createDataFrame([(i, v.tolist(), k) for i, v, k in rows], "vec_id bigint, embedding array<double>, label int")
+    want = linked_by_brute_force(rows)
+    units = common.stage(nn_descent.classes(nn_descent.usable(frame, "vec_id", "embedding", "label")), "units")
+    graph = nn_descent.neighbour_graph(units, 0.93, 1)
+    pairs = graph.where("sim >= 0.929").select(F.least("id", "other").alias("low"), F.greatest("id", "other").alias("high")).distinct()
+    found = nn_descent._confirmed(pairs, units, 0.93).count()
+    assert found >= 0.999 * sum(n for _, n, _ in want) / 2 and graph.where("saturated").count() == 0
+    with caplog.at_level("INFO", "spanflow.llm.nn_descent"):
+        assert {tuple(r) for r in nn_descent.linked_vectors(frame).collect()} == want
+    assert "recall 1.000000" in caplog.text
+    for bits in (0, 1, 8, 22):
+        apart, tables = 1 - (1 - np.arccos(0.93) / np.pi) ** bits, nn_descent.tables_for(bits, 0.93)
+        assert apart**tables <= nn_descent.MISS < (apart ** (tables - 1) if tables > 1 else 1.1)
