@@ -20,21 +20,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: One page in ten stands under this address, which so is asked for by a tenth of the archive.
+HOT_URL = "https://www.hot.example/front"
+
+
 def archive_records(pages: DataFrame) -> DataFrame:
-    """Two archive records for each page: its full response, and a later or earlier revisit
-    of another spelling of its URL, with equal, weak, changed, other or no validators."""
-    at = "timestamp_seconds(1704067200 + page_id * 37)"
-    tag = "concat('\"', md5(html), '\"')"
-    response = pages.selectExpr(
-        "page_id * 2 as record_id", "'response' as kind", "url", f"{at} as at",
-        f"map('ETag', {tag}, 'Last-Modified', concat('T', page_id % 3), 'Content-Type', 'text/html',"
+    """Archive records made of each page: three full responses two days apart, of which odd
+    pages change from one to the next, and a revisit of another spelling of its URL at a
+    day before, between or after them, with equal, weak, changed, other or no validators.
+    Times are to the millisecond."""
+    at = "timestamp_millis((1704067200 + page_id * 37) * 1000 + page_id % 4 * 250)"
+    url = f"case when page_id % 10 = 3 then '{HOT_URL}' else url end"
+    tag = "concat('\"', md5(html), {version}, '\"')"
+    own, known = tag.format(version="page_id % 2 * capture"), tag.format(version="page_id % 2 * (page_id % 3)")
+    response = pages.selectExpr("*", "explode(array(0, 1, 2)) as capture").selectExpr(
+        "page_id * 8 + capture as record_id", "'response' as kind", f"{url} as url",
+        f"{at} + make_dt_interval(capture * 2) as at",
+        f"map('ETag', {own}, 'Last-Modified', concat('T', page_id % 3), 'Content-Type', 'text/html',"
         " 'Content-Length', cast(octet_length(html) as string), 'Cache-Control', 'max-age=60', 'Date', cast(page_id as string)) as headers",
     )
     revisit = pages.selectExpr(
-        "page_id * 2 + 1 as record_id", "'revisit' as kind",
-        "case page_id % 3 when 0 then concat(url, '#seen') when 1 then replace(url, 'https://', 'http://') else url end as url",
-        f"{at} + make_interval(0, 0, 0, int(page_id % 5) - 1, 0, 0, 1) as at",
-        f"map_filter(map('etag', case page_id % 7 when 0 then concat('W/', {tag}) when 1 then '\"old\"' when 2 then null when 3 then null else {tag} end,"
+        "page_id * 8 + 7 as record_id", "'revisit' as kind",
+        f"case page_id % 3 when 0 then concat({url}, '#seen') when 1 then replace({url}, 'https://', 'http://') else {url} end as url",
+        f"{at} + make_dt_interval(int(page_id % 7) - 1, 0, 0, 0.5) as at",
+        f"map_filter(map('etag', case page_id % 7 when 0 then concat('W/', {known}) when 1 then '\"old\"' when 2 then null when 3 then null else {known} end,"
         " 'last-modified', case page_id % 7 when 2 then concat('T', page_id % 4) end, 'content-length', '0', 'connection', 'close',"
         " 'cache-control', 'max-age=600', 'age', cast(page_id % 11 as string)), (k, v) -> v is not null) as headers",
     )
@@ -45,8 +54,8 @@ def op1_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = revisits.resolve_revisits(archive_records(table(spark, sf_dir, "pages")))
     fields = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat_ws("=", e["key"], e["value"])))
     return found.select(
-        F.expr("record_id div 2").alias("page_id"), F.col("url").alias("canonical_url"),
-        F.expr("response_id div 2").alias("response_page_id"), "status", F.array_join(fields, ";").alias("headers"),
+        F.expr("record_id div 8").alias("page_id"), F.col("url").alias("canonical_url"),
+        F.expr("response_id div 8").alias("response_page_id"), (F.col("response_id") % 8).alias("response_capture"), "status", F.array_join(fields, ";").alias("headers"),
     )
 
 
@@ -160,26 +169,33 @@ CANONICAL = """
 
 ORACLES: dict[str, str] = {
     "op1_revisits": f"""
-with responses as ({CANONICAL.format(source="(select page_id, url as raw, html, page_id * 37 as at from pages)")}),
-revisits as ({CANONICAL.format(source="(select page_id, case page_id % 3 when 0 then url || '#seen' when 1 then replace(url, 'https://', 'http://') else url end as raw, html, page_id * 37 + (page_id % 5 - 1) * 86400 + 1 as at from pages)")}),
+with p as (
+    select page_id, html, case when page_id % 10 = 3 then '{HOT_URL}' else url end as address, page_id * 37000 + page_id % 4 * 250 as moment from pages
+),
+responses as ({CANONICAL.format(source="""(select page_id, address as raw, html, k as capture, moment + k * 172800000 as at,
+    '"' || md5(html) || (page_id % 2 * k) || '"' as tag from p, (select unnest([0, 1, 2]) as k))""")}),
+revisits as ({CANONICAL.format(source="""(select page_id, case page_id % 3 when 0 then address || '#seen' when 1 then replace(address, 'https://', 'http://') else address end as raw,
+    moment + (page_id % 7 - 1) * 86400000 + 500 as at, '"' || md5(html) || (page_id % 2 * (page_id % 3)) || '"' as known from p)""")}),
 tagged as (
-    select *, case page_id % 7 when 0 then '"' || md5(html) || '"' when 1 then '"old"' when 2 then null when 3 then null else '"' || md5(html) || '"' end as tag,
+    select *, case page_id % 7 when 0 then known when 1 then '"old"' when 2 then null when 3 then null else known end as tag,
         case when page_id % 7 = 0 then 'W/' else '' end as weak, case when page_id % 7 = 2 then 'T' || page_id % 4 end as modified
     from revisits
 ),
 found as (
-    select v.page_id, v.url, v.tag, v.weak, v.modified, r.page_id as response_page, r.html as body, row_number() over (partition by v.page_id order by r.at desc, r.page_id desc) as n
+    select v.page_id, v.url, v.tag, v.weak, v.modified, r.page_id as response_page, r.capture, r.tag as own, r.html as body,
+        row_number() over (partition by v.page_id order by r.at desc, r.page_id desc, r.capture desc) as n
     from tagged v left join responses r on r.url = v.url and r.at < v.at
 ),
 judged as (
     select *, case when response_page is null then 'no response'
-        when case when tag is not null then tag = '"' || md5(body) || '"' when modified is not null then modified = 'T' || response_page % 3 else true end then 'resolved'
+        when case when tag is not null then tag = own when modified is not null then modified = 'T' || response_page % 3 else true end then 'resolved'
         else 'validators differ' end as status
     from found where n = 1
 )
-select page_id, url as canonical_url, case when status = 'resolved' then response_page end as response_page_id, status,
+select page_id, url as canonical_url, case when status = 'resolved' then response_page end as response_page_id,
+    case when status = 'resolved' then capture end as response_capture, status,
     case when status = 'resolved' then 'age=' || page_id % 11 || ';cache-control=max-age=600;content-length=' || strlen(body) || ';content-type=text/html;date='
-        || response_page || ';etag=' || weak || '"' || md5(body) || '";last-modified=' || coalesce(modified, 'T' || response_page % 3) end as headers
+        || response_page || ';etag=' || weak || own || ';last-modified=' || coalesce(modified, 'T' || response_page % 3) end as headers
 from judged
 """,
     "op2_neighbour_descent": """
