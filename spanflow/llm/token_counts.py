@@ -1,4 +1,4 @@
-"""Exact token counts of whole texts, huge ones by overlap resynchronisation.
+"""Exact token counts of whole texts, huge ones, of 16 KiB and more, by overlap resynchronisation.
 
 A huge text is encoded in chunks that overlap. Each chunk's tokens come with their
 character offsets. Two neighbours are spliced where a token begins at the same
@@ -29,9 +29,9 @@ from spanflow.llm import bytework
 from spanflow.llm.byte_bpe import worker_cache
 from spanflow.llm.common import slices, text_rows, utf8
 
-#: Characters from which on a text counts as huge, of a chunk, and of the first overlap.
-HUGE = 65_536
-CHUNK = 32_768
+#: Bytes from which on a text counts as huge; characters of a chunk, and of the first overlap.
+HUGE = 16_384
+CHUNK = 8_192
 OVERLAP = 256
 #: Tokens after a splice that both chunks must share, where the overlap has as many.
 AGREE = 8
@@ -95,8 +95,9 @@ def _counts(texts: list[str], tokenizer) -> list[int]:
     return [len(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, n_tokens`` for every row of ``docs``."""
+def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", huge_bytes: int = HUGE) -> DataFrame:
+    """``doc_id, n_bytes, n_tokens`` for every row of ``docs``; texts of ``huge_bytes`` or
+    more are encoded in chunks, which changes no count."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -108,7 +109,7 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
             raw, at = utf8(batch.column("text"))
             sizes = np.diff(at)
             tokens = np.zeros(len(sizes), np.int64)
-            huge = (sizes >= HUGE) & drops
+            huge = (sizes >= huge_bytes) & drops
             if not drops:
                 rows = np.flatnonzero(~huge)
                 tokens[rows] = _counts([raw[at[i] : at[i + 1]].tobytes().decode() for i in rows], tokenizer)

@@ -222,6 +222,8 @@ def test_token_counts(docs):
     library = pytest.importorskip("tokenizers").Tokenizer.from_file(path)
     want = Counter((r[0], len((r[1] or "").encode()), len(library.encode(r[1] or "", add_special_tokens=False).ids)) for r in ROWS)
     assert bag(token_counts.token_counts(docs, path).collect()) == want
+    assert max(n for _, n, _ in want) > 2 * token_counts.HUGE  # so chunks are spliced here
+    assert bag(token_counts.token_counts(docs, path, huge_bytes=1).collect()) == want
 
 
 @pytest.mark.parametrize("chunk, overlap", [(97, 4), (300, 16), (5000, 64)])
