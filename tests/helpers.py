@@ -30,7 +30,7 @@ TARGET = span(
     "orders.receive", "CONSUMER", 730,
     _aws={"xray": {"linking": True}},
     attributes={"batch": 3, "late": False},
-    resource={"attributes": {"service.name": "orders"}},
+    resource={"attributes": {"service.name": "orders", "team": "north"}},
 )
 TARGET_SPAN = TARGET["spanId"]
 DECORATOR = {
