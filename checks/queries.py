@@ -501,18 +501,18 @@ def ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The attempts of a run, written out before anything is read off them."""
     sent = requests(spark, sf_dir)
     path = work_dir(spark)
-    publish.publish_with_retry(sent, put, columns=[], together=True).write.parquet(path)
+    publish.publish_with_retry(sent, put, columns=[], together=True, letters=True).write.parquet(path)
     return spark.read.parquet(path), sent
 
 
 def publish_ledger(spark, sf_dir):
-    return ledger(spark, sf_dir)[0]
+    return ledger(spark, sf_dir)[0].drop(*publish.LETTER_FIELDS)
 
 
 def publish_summary(spark, sf_dir):
     """Counters of a run whose dead letters were sent to a queue that loses some."""
-    attempts, sent = ledger(spark, sf_dir)
-    letters = publish.chunk_failures(publish.dead_letters(attempts, sent, "span-stream"))
+    attempts, _ = ledger(spark, sf_dir)
+    letters = publish.chunk_failures(publish.dead_letters(attempts, None, "span-stream"))
     results = written(publish.send_dead_letters(letters, send), work_dir(spark))
     return publish.publish_summary(attempts, publish.unsent_letters(results))
 

@@ -40,6 +40,8 @@ FAILURE_KIND = "kinesis_publish_failure"
 
 PUBLISHED, RETRIED, DEAD = "published", "retried", "dead"
 
+# What a dead letter holds of its record.
+LETTER_FIELDS = ["trace_id", "source_log_group", "message"]
 LEDGER = (
     "batch_id bigint, chunk_index bigint, position bigint, source_event_id string,"
     " attempt bigint, error_code string, error_message string, outcome string"
@@ -89,6 +91,7 @@ def publish_with_retry(
     pause: Callable[[float], None] | None = None,
     columns: list[str] | None = None,
     together: bool = False,
+    letters: bool = False,
 ) -> DataFrame:
     """Send every chunk through ``put`` and return the ledger.
 
@@ -101,12 +104,17 @@ def publish_with_retry(
     but the parsed record. A chunk has a bounded number of rows and is one group. With
     ``together`` the rows of a chunk must stand one after the other in their partition, as
     ``partition_batches`` leaves them; then nothing is shuffled to bring them together.
+    With ``letters`` the ledger carries what a dead letter needs of each record that fails
+    for good, so that ``dead_letters`` makes the records no second time to look it up.
     Before another attempt ``pause`` gets the seconds to wait, with a jitter that
     follows from the ids to send again. A lost task repeats
     its calls, so ``put`` must accept a record twice; write the ledger out
     before reading it for routing.
     """
 
+    carried = LETTER_FIELDS if letters else []
+    schema = ", ".join([LEDGER, *[f"{name} string" for name in carried]])
+
     def call(pending: pd.DataFrame, attempt: int) -> pd.DataFrame:
         try:
             answer = put(pending, attempt).reset_index(drop=True)
@@ -140,14 +148,14 @@ def publish_with_retry(
             outcome = pd.Series(PUBLISHED, index=pending.index)
             outcome[failed] = DEAD
             outcome[again] = RETRIED
-            done.append(
-                pending[[*ROW, "source_event_id"]].assign(
-                    attempt=attempt,
-                    error_code=answer["error_code"],
-                    error_message=answer["error_message"],
-                    outcome=outcome,
-                )
+            attempted = pending[[*ROW, "source_event_id", *carried]].assign(
+                attempt=attempt,
+                error_code=answer["error_code"],
+                error_message=answer["error_message"],
+                outcome=outcome,
             )
+            attempted.loc[outcome != DEAD, carried] = None
+            done.append(attempted)
             pending = pending[again].reset_index(drop=True)
             if pending.empty:
                 break
@@ -158,7 +166,7 @@ def publish_with_retry(
         return pd.concat(done, ignore_index=True)
 
     wanted = columns if columns is not None else [c for c in requests.columns if c != "record"]
-    needed = list(dict.fromkeys([*ROW, "source_event_id", *wanted]))
+    needed = list(dict.fromkeys([*ROW, "source_event_id", *wanted, *carried]))
 
     def publish_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # The last chunk of a batch may go on in the next one.
@@ -177,8 +185,8 @@ def publish_with_retry(
             yield publish_chunk(rest)
 
     if together:
-        return requests.select(*needed).mapInPandas(publish_all, LEDGER)
-    return requests.select(*needed).groupBy(*CHUNK).applyInPandas(publish_chunk, LEDGER)
+        return requests.select(*needed).mapInPandas(publish_all, schema)
+    return requests.select(*needed).groupBy(*CHUNK).applyInPandas(publish_chunk, schema)
 
 
 def response_zip_join(requests: DataFrame, responses: DataFrame) -> DataFrame:
@@ -302,10 +310,13 @@ def publish_summary(ledger: DataFrame, failure_queue_send_failures: int = 0) ->
     )
 
 
-def dead_letters(ledger: DataFrame, requests: DataFrame, stream_name: str) -> DataFrame:
-    """Failure envelopes, each with the whole message so that it can be replayed."""
-    dead = ledger.where(F.col("outcome") == DEAD).drop("source_event_id")
-    return dead.join(requests, ROW).select(
+def dead_letters(ledger: DataFrame, requests: DataFrame | None, stream_name: str) -> DataFrame:
+    """Failure envelopes, each with the whole message so that it can be replayed. Where the
+    ledger does not carry it (``letters``), it is looked up in ``requests``."""
+    dead = ledger.where(F.col("outcome") == DEAD)
+    if not set(LETTER_FIELDS) <= set(ledger.columns):
+        dead = dead.drop("source_event_id").join(requests, ROW)
+    return dead.select(
         *ROW,
         F.lit(FAILURE_KIND).alias("kind"),
         F.lit(stream_name).alias("stream_name"),
