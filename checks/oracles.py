@@ -509,6 +509,13 @@ ORACLES: dict[str, str] = {
             f" (select *, source_log_group as source, strlen(source_event_id) as b from emit where ({ERROR}) is null))) group by all"
         ),
     ),
+    "stored_payloads": sql(
+        "emit",
+        select=(
+            f"select window_s, source_log_group as source, {_clean('$.traceId')} as trace_id, {_clean('$.spanId')} as span_id"
+            f" from emit where ({ERROR}) is null"
+        ),
+    ),
     "otlp_payload_fields": sql(
         "conv",
         select=(
@@ -559,6 +566,10 @@ ORACLES: dict[str, str] = {
             " || ',\"record\":' || message || '}' as value from rec"
         ),
     ),
+    "stored_records": sql(
+        "rec",
+        select=f"select {EVENT}, trace_id as key, source_log_group, trace_id, {SPAN_ID} as span_id from rec",
+    ),
     "decoded_fallbacks": sql(
         "parsed",
         select=(
@@ -618,6 +629,19 @@ ORACLES: dict[str, str] = {
             " from led where outcome = 'retried' group by batch_id, chunk_index, attempt"
         ),
     ),
+    "retry_budgets": sql(
+        "led",
+        select=(
+            "select *, budget_ms >= 5000 as again from (select batch_id, chunk_index, attempt, 5000 + 300 * (batch_id % 3)"
+            " - cast(sum(cast(least(200 * (1 << least(attempt - 1, 4)), 2000) as bigint))"
+            " over (partition by batch_id, chunk_index order by attempt) as bigint) as budget_ms"
+            " from (select distinct batch_id, chunk_index, attempt from led where outcome = 'retried'))"
+        ),
+    ),
+    "failed_attempts": sql(
+        "led",
+        select=f"select {ROW}, source_event_id, attempt, error_code, outcome = 'dead' as stamped from led where outcome <> 'published'",
+    ),
     "dead_letters": sql(
         "led", "sent",
         select=(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -347,6 +348,20 @@ def payload_cuts(spark, sf_dir):
     )
 
 
+def stored_payloads(spark, sf_dir):
+    """Spans in the payloads that the sink stored, read back and taken apart."""
+    texts = export.otlp_json(export.otlp_rows(spans(spark, sf_dir)))
+    path = work_dir(spark)
+    export.write_otlp(export.compact_payloads(texts, max_spans=4), path)
+    found = with_document(spark.read.parquet(path), F.col("payload"), "doc")
+    for column, name in (("doc", "resourceSpans"), ("resourceSpans", "scopeSpans"), ("scopeSpans", "spans")):
+        found = found.select("window_start", "source", F.explode(strict_array(F.col(column), f"$.{name}")).alias(name))
+    return found.select(
+        epoch("window_start").alias("window_s"), "source",
+        strict_str(F.col("spans"), "$.traceId").alias("trace_id"), strict_str(F.col("spans"), "$.spanId").alias("span_id"),
+    )
+
+
 def otlp_payload_fields(spark, sf_dir):
     """One payload per span, written as text and read back."""
     rows = export.otlp_rows(
@@ -448,6 +463,19 @@ def decoded_fallbacks(spark, sf_dir):
     )
 
 
+def stored_records(spark, sf_dir):
+    """Keyed records off the table that the partitioner writes."""
+    path = work_dir(spark)
+    stream_records.write_partitioned(partition.wrap_record(records(spark, sf_dir)), path)
+    none = F.lit(None).cast("string")
+    stored = spark.read.parquet(path).select(
+        "arrival_seq", "key", "value", none.alias("event_id"), none.alias("sequence_number")
+    )
+    return stream_records.read_partitioned(stored).select(
+        *EVENT, "key", "source_log_group", "trace_id", span_id_of_record(F.col("record")).alias("span_id")
+    )
+
+
 # Window counters.
 
 
@@ -535,6 +563,27 @@ def retry_plan(spark, sf_dir):
     )
 
 
+def retry_budgets(spark, sf_dir):
+    """Which chunks may go on after a wait, when batches have different time limits."""
+    delays = publish.retry_delays(ledger(spark, sf_dir)[0])
+    limit = 5000 + 300 * (F.col("batch_id") % 3)
+    return publish.retry_budgets(delays, limit).select(*publish.CHUNK, "attempt", "budget_ms", "again")
+
+
+def failed_attempts(spark, sf_dir):
+    """Failures that were retried, and those that became letters while the query ran."""
+    started = int(time.time() * 1000)
+    attempts, _ = ledger(spark, sf_dir)
+    retried, dead = publish.split_failures(attempts)
+    now = F.unix_millis(F.current_timestamp())
+    letters = publish.dead_letters(dead, None, "span-stream").select(
+        *publish.ROW, "source_event_id", F.col("attempt_count").alias("attempt"), F.col("last_error_code").alias("error_code"),
+        F.col("failed_at").between(started, now).alias("stamped"),
+    )
+    again = retried.select(*publish.ROW, "source_event_id", "attempt", "error_code", F.lit(False).alias("stamped"))
+    return again.union(letters)
+
+
 def dead_letters(spark, sf_dir):
     attempts, sent = ledger(spark, sf_dir)
     letters = publish.chunk_failures(publish.dead_letters(attempts, sent, "span-stream"))
@@ -779,6 +828,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "otlp_convert_errors": otlp_convert_errors,
     "otlp_payloads": otlp_payloads,
     "payload_cuts": payload_cuts,
+    "stored_payloads": stored_payloads,
     "otlp_payload_fields": otlp_payload_fields,
     "hex_cleaning": hex_cleaning,
     "log_scan": log_scan,
@@ -786,6 +836,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_500": chunk_500,
     "chunk_10": chunk_10,
     "wrapped_records": wrapped_records,
+    "stored_records": stored_records,
     "decoded_fallbacks": decoded_fallbacks,
     "trace_aggregate": trace_aggregate,
     "relay_summary": relay_summary,
@@ -794,6 +845,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retry_subset": retry_subset,
     "recovered_ids": recovered_ids,
     "retry_plan": retry_plan,
+    "retry_budgets": retry_budgets,
+    "failed_attempts": failed_attempts,
     "dead_letters": dead_letters,
     "replayed_records": replayed_records,
     "response_pairs": response_pairs,

@@ -254,9 +254,9 @@ def recovered_ids(ledger: DataFrame) -> DataFrame:
 
 def retry_delays(ledger: DataFrame) -> DataFrame:
     """Per chunk and attempt that is retried: rows to retry and the wait before it."""
+    retried, _ = split_failures(ledger)
     return (
-        ledger.where(F.col("outcome") == RETRIED)
-        .groupBy(*CHUNK, "attempt")
+        retried.groupBy(*CHUNK, "attempt")
         .agg(
             F.count(F.lit(1)).alias("failed_records"),
             jitter_ms(F.col("source_event_id")).alias("jitter_ms"),
@@ -266,6 +266,18 @@ def retry_delays(ledger: DataFrame) -> DataFrame:
     )
 
 
+def retry_budgets(delays: DataFrame, limit_ms: Column) -> DataFrame:
+    """What the waits leave of a chunk's time limit, and whether another attempt is worth it.
+
+    ``delays`` are rows of ``retry_delays``. The jitter is not counted, so the answer
+    depends on the limit and the number of attempts alone.
+    """
+    waits = Window.partitionBy(*CHUNK).orderBy("attempt")
+    return delays.withColumn("budget_ms", limit_ms - F.sum("base_ms").over(waits)).withColumn(
+        "again", has_retry_budget(F.col("budget_ms"))
+    )
+
+
 def unsent_letters(results: DataFrame) -> int:
     """How many dead letters ``send_dead_letters`` could not send."""
     return results.agg(F.coalesce(F.sum("failed"), F.lit(0))).first()[0]
@@ -313,7 +325,7 @@ def publish_summary(ledger: DataFrame, failure_queue_send_failures: int = 0) ->
 def dead_letters(ledger: DataFrame, requests: DataFrame | None, stream_name: str) -> DataFrame:
     """Failure envelopes, each with the whole message so that it can be replayed. Where the
     ledger does not carry it (``letters``), it is looked up in ``requests``."""
-    dead = ledger.where(F.col("outcome") == DEAD)
+    _, dead = split_failures(ledger)
     if not set(LETTER_FIELDS) <= set(ledger.columns):
         dead = dead.drop("source_event_id").join(requests, ROW)
     return dead.select(
