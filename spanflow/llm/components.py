@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanflow.llm.common import stage
+from spanflow.llm.common import discard, stage
 
 LINK = "low bigint, high bigint"
 
@@ -68,7 +68,8 @@ def connected_components(links: DataFrame, low: str = "low", high: str = "high")
     now = stage(pairs.mapInArrow(_local_union, LINK).distinct(), "links")
     mark = _mark(now)
     while mark[0]:
-        now = stage(_star(_star(now, True), False), "links")
+        last, now = now, stage(_star(_star(now, True), False), "links")
+        discard(last)
         before, mark = mark, _mark(now)
         if mark == before:
             break

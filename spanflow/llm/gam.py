@@ -232,7 +232,10 @@ def quality_scores(
     """``doc_id, key_text, held_out, score, predicted`` for every row of ``docs``.
 
     A null or empty text scores as a text without words. A null id is not held out and
-    never labelled. Without usable labels every score is 0.5.
+    never labelled. Without usable labels every score is 0.5. Equal texts get equal scores,
+    very long ones one at a time; an id with several texts gets a row, and in the fit a
+    labelled row, for each. Labels that contradict one another all count. Only the columns
+    named are read, so others cannot clash.
     """
     features = stage(feature_rows(text_rows(docs, doc_id, text)), "features")
     model = fit_quality(features, labels, fit_rows)

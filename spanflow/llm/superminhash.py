@@ -18,7 +18,9 @@ group of copies costs links in proportion to its size.
 
 Nulls, empty texts and texts without words have no shingles and link with nothing.
 Fewer words than a shingle make one shingle. Rows that repeat a doc_id share that
-id's fate.
+id's fate. Texts of any length count whole, one at a time where they are long. Of buckets'
+members that meet equally many, that with the largest id is the center; it changes no
+result. Only the id and the text are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanflow.llm import bytework
-from spanflow.llm.common import slices, stage, text_rows, utf8
+from spanflow.llm.common import discard, slices, stage, text_rows, utf8
 from spanflow.llm.components import connected_components
 
 BANDS, ROWS = 25, 5
@@ -68,10 +70,11 @@ def signatures(elements: np.ndarray, at: np.ndarray, slots: int = SLOTS) -> np.n
     count = len(at) - 1
     ranks = np.full(count * slots, np.inf)
     owner = np.repeat(np.arange(count), np.diff(at))
-    swaps: list[np.ndarray] = []
+    swaps: list[np.ndarray] = []  # one small number for each element and step
+    small = np.min_scalar_type(slots - 1)
     for j in range(slots):
         draw = bytework.mix(elements + np.uint64((j + 1) * _GOLDEN % 2**64))
-        swap = j + ((draw >> np.uint64(32)) * np.uint64(slots - j) >> np.uint64(32)).astype(np.int64)
+        swap = j + ((draw >> np.uint64(32)) * np.uint64(slots - j) >> np.uint64(32)).astype(small)
         place = swap.copy()
         for i in range(j - 1, -1, -1):  # undo the swaps of earlier steps
             np.copyto(place, i, where=place == swaps[i])
@@ -151,8 +154,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return both.select("low", "high", "text_low", "text_high").mapInArrow(confirm, "low bigint, high bigint")
 
 
-def _contested_pairs(contested: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs of contested documents of different components that may be similar.
+def _contested_pairs(contested: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Pairs of contested documents of different components that may be similar, and the
+    stages that they are read from.
 
     ``contested`` has ``rep, group, outside``; at least one of a pair is outside.
     """
@@ -184,7 +188,8 @@ def _contested_pairs(contested: DataFrame, texts: DataFrame, width: int, percent
     met = x.where("outside_x").join(y, "shingle").where(
         fits & (F.col("group_x") != F.col("group_y")) & (~F.col("outside_y") | (F.col("rep_x") < F.col("rep_y")))
     )
-    return met.select(F.least("rep_x", "rep_y").alias("low"), F.greatest("rep_x", "rep_y").alias("high")).distinct()
+    pairs = met.select(F.least("rep_x", "rep_y").alias("low"), F.greatest("rep_x", "rep_y").alias("high")).distinct()
+    return pairs, [held, prefixes]
 
 
 def near_duplicate_groups(
@@ -207,9 +212,12 @@ def near_duplicate_groups(
     )
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stage(buckets.join(sizes, "bucket"), "shared")
+    discard(buckets)
     met = shared.groupBy("rep").agg(F.sum("n").alias("met"))
     centers = shared.join(met, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("met", "rep")).alias("center"))
-    shared = stage(shared.join(centers, "bucket").select("bucket", "rep", "center"), "centered")
+    centered = stage(shared.join(centers, "bucket").select("bucket", "rep", "center"), "centered")
+    discard(shared)
+    shared = centered
 
     def pair(x: str, y: str) -> list:
         return [F.least(x, y).alias("low"), F.greatest(x, y).alias("high")]
@@ -233,11 +241,16 @@ def near_duplicate_groups(
         .agg(F.max(F.col("group") != F.col("main")).alias("outside")),
         "open",
     )
-    rest = _contested_pairs(contested, texts, width, percent).join(pairs, ["low", "high"], "left_anti")
+    found, read = _contested_pairs(contested, texts, width, percent)
+    rest = found.join(pairs, ["low", "high"], "left_anti")
     more = stage(_verified(rest, texts, width, percent), "more")
+    for done in (*read, contested, shared, texts):
+        discard(done)
     # All members of a class; a repeated id with two sets joins their classes.
     copies = members.where("doc_id != rep").select(F.col("rep").alias("low"), F.col("doc_id").alias("high"))
     groups = connected_components(links.union(more).union(copies))
+    for done in (classes, links, more):
+        discard(done)
     return grouped(
         drawn.select("doc_id", "n_shingles"), "doc_id", "component_id"
     ).select("doc_id", "n_shingles", "component_id")

@@ -67,6 +67,20 @@ def test_stages(spark, tmp_path):
     assert Counter(r.doc_id for r in pieces if r.start == 0) == Counter(i for i, _ in after.elements())
 
 
+def test_stages_on_empty_tables(spark, tmp_path):
+    tables = {
+        "documents": "doc_id bigint, text string, n_chars int, key_id string", "labels": "doc_id bigint, quality int, toxic int",
+        "benchmark": "item_id int, text string",
+    }
+    for name, schema in tables.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, function in corpus_pipeline.STAGES[:-1]:
+        out = function(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.collect() == []
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_run_reads_the_tables(spark):
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(found.columns) and found.count() > 100

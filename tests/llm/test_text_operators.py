@@ -173,6 +173,23 @@ def test_proximity(spark):
     assert hits(None) == {3} and hits(1) == {1, 3} and hits(4) == {1, 2, 3} and hits(9) == {1, 2, 3, 4}
 
 
+def test_lists_are_intersected_before_windows_are_compared(spark):
+    """A term that is the rarest of 60 windows and stands 300 times asks for each distance once."""
+    rows = [(i, f"hot b{i} c{i} " + "pad " * 6 + "x") for i in range(300)] + [(300, "p0 hot q0 r0"), (301, "p1 q1 hot r1"), (302, " ".join(f"p{k} q{k} r{k}" for k in range(60) for _ in range(400)))]
+    items = [(k, f"p{k} hot q{k} r{k}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    tests = spark.createDataFrame(items, "item_id string, text string")
+    windows = positional_index.test_windows(tests, 4)
+    postings, probes = positional_index.build_index(common.with_key(docs), windows, 4, 0)
+    assert probes.where("first = 'hot'").count() == 60
+    found = positional_index.candidates(postings, probes, 0)
+    assert found.count() < 5
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    hits = positional_index.contamination(docs, tests, width=4).where("n_hit > 0").collect()
+    assert [(r.doc_id, r.n_hit, r.item_ids) for r in hits] == [(300, 4, ["0"])]
+
+
 def test_packing(docs):
     library = pytest.importorskip("tokenizers").Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
     tokens = Counter()
@@ -290,6 +307,48 @@ def test_quality(spark):
     assert {r.score for r in none} == {0.5}
 
 
+def test_quality_of_odd_rows(spark):
+    """Very long texts, an id with two texts, repeated rows and columns with clashing names."""
+    rows = [(i, ("alpha beta gamma " if i % 2 else "alpha$$$ %%% ") * (i % 7 + 3), "f", 0.5, "k") for i in range(60)]
+    rows += [(5, "alpha " * 300_000, "f", None, None), (5, "%%% " * 9, "f", None, None), rows[3], rows[3], (None, None, None, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, features string, score double, key_text string")
+    labels = spark.createDataFrame([(i, i % 2, "f") for i in range(60)] + [(5, 0, "f"), (5, 0, "f")], "doc_id bigint, quality int, features string")
+    found = gam.quality_scores(frame, labels).collect()
+    assert Counter(r.doc_id for r in found) == Counter(r[0] for r in rows)
+    assert len({r.score for r in found if r.doc_id == 3}) == 1 and all(0 <= r.score <= 1 for r in found)
+    by_parity = [np.mean([r.score for r in found if r.doc_id is not None and r.doc_id % 2 == k]) for k in (0, 1)]
+    assert by_parity[0] < by_parity[1]
+
+
+def test_classifiers_on_documents(spark):
+    """Held-out accuracy on the given documents, whole texts."""
+    folder = "/root/testdata/sf0.01"
+    documents, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    languages = {r.doc_id: r.lang for r in documents.collect()}
+    held = [r for r in byte_cnn.languages(documents).collect() if r.held_out and languages[r.doc_id] is not None]
+    assert len(held) > 150 and np.mean([r.lang_pred == languages[r.doc_id] for r in held]) > 0.95
+    marks = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    held = [(r.score, marks[r.doc_id]) for r in gam.quality_scores(documents, labels).collect() if r.held_out and r.doc_id in marks]
+    good, bad = ([s for s, y in held if y == k] for k in (1, 0))
+    assert len(good) > 20 and len(bad) > 5
+    assert np.mean([[(g > b) + (g == b) / 2 for b in bad] for g in good]) > 0.9  # the area under the curve
+
+
+def test_packing_of_documents(spark):
+    """Ids as the named library gives them for every document, and little padding."""
+    library = pytest.importorskip("tokenizers").Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    want = Counter()
+    for r in documents.collect():
+        ids = np.array([*library.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4")
+        for start in range(0, len(ids), 2048):
+            part = ids[start : start + 2048]
+            want[r.doc_id, start, len(part), zlib.crc32(part.tobytes()), len(ids)] += 1
+    found = packing.packed_documents(documents, tokenizer("byte_bpe_50k.json")).collect()
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in found) == want
+    assert sum(r.length for r in found) > 0.97 * 2048 * len({r.sequence_id for r in found})
+
+
 def test_pair_tables_learn_an_interaction():
     rng = np.random.default_rng(5)
     x = rng.random((3000, 3))
