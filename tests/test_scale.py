@@ -2,7 +2,9 @@
 
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from checks import queries as q
 from spanflow.sources import derived
@@ -21,7 +23,7 @@ def tables(spark, tmp_path_factory):
         (k if k % 97 else None, n, k * 7 + n, k * 3 + n, float(k % 50 + 1), 10.5 + k, "ANR"[k % 3], datetime(2024, 1, 1))
         for k in range(600) for n in range(1, 1 + k % 5)
     ]
-    spark.createDataFrame(rows + rows[:40], LINEITEM).write.parquet(f"{path}/lineitem.parquet")
+    pq.write_table(spark.createDataFrame(rows + rows[:40], LINEITEM).toArrow(), f"{path}/lineitem.parquet")
     return path
 
 
@@ -39,8 +41,19 @@ def test_texts_are_made_where_envelopes_are_packed(spark, tables):
     assert found == sorted((str(r.batch_id), r.source_event_id, r.arrival_s, r.message) for r in made)
 
 
-@pytest.mark.parametrize("name", ["response_pairs", "request_failures"])
-def test_requests_are_made_once(spark, tables, name):
-    """Joins of the requests with themselves read ids off a table, not the texts once more."""
+@pytest.mark.parametrize("name", ["response_pairs", "request_failures", "record_balance"])
+def test_records_are_made_once(spark, tables, name):
+    """Frames that are joined with themselves are read off a table, not made of the texts once more."""
     frame = q.QUERIES[name](spark, tables)
     assert "lineitem.parquet" not in plan_of(frame) and frame.count()
+
+
+@pytest.mark.parametrize("name", ["partition_metrics", "two_stage_spans", "stream_windows"])
+def test_batches_of_streams_are_not_cached(spark, tables, monkeypatch, name):
+    """Cached rows are plain on an executor's disk; what is read again is Parquet."""
+
+    def refuse(frame, *_):
+        raise AssertionError("cached")
+
+    monkeypatch.setattr(DataFrame, "persist", refuse)
+    assert q.QUERIES[name](spark, tables).count()
