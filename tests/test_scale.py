@@ -57,3 +57,35 @@ def test_batches_of_streams_are_not_cached(spark, tables, monkeypatch, name):
 
     monkeypatch.setattr(DataFrame, "persist", refuse)
     assert q.QUERIES[name](spark, tables).count()
+
+
+@pytest.mark.parametrize("name", ["retry_subset", "replayed_records"])
+def test_requests_are_read_off_the_ledger(spark, tables, name):
+    """The requests of a run are not made of the texts once more to meet its failures."""
+    frame = q.QUERIES[name](spark, tables)
+    assert "lineitem.parquet" not in plan_of(frame) and frame.count()
+
+
+def test_replay_neither_caches_nor_joins_the_live_records(spark, tables, monkeypatch):
+    def refuse(frame, *_):
+        raise AssertionError("cached")
+
+    sent = q.requests(spark, tables).groupBy("source_event_id", "trace_id").count().count()
+    monkeypatch.setattr(DataFrame, "persist", refuse)
+    monkeypatch.setattr(DataFrame, "join", lambda left, right, on, how="inner", join=DataFrame.join: (
+        refuse(left) if on == q.publish.ROW else join(left, right, on, how)))
+    found = q.replayed_once(spark, tables).collect()
+    assert len(found) == sent and {r.copies for r in found} == {1}
+
+
+def test_columns_of_live_records_stand_in_their_last_attempt(spark, tables):
+    sent = q.requests(spark, tables)
+    made = q.ledger(spark, tables, letters=True, live=["trace_id"])
+    last = {(r.batch_id, r.chunk_index, r.position): r for r in q.publish.requests_of(made).collect()}
+    rows = sent.select(*q.publish.ROW, "trace_id", "message").collect()
+    assert len(rows) == len(last) > 0
+    for r in rows:
+        row = last[r.batch_id, r.chunk_index, r.position]
+        assert row.trace_id == r.trace_id and row.message == (r.message if row.outcome == "dead" else None)
+    assert {r.trace_id for r in made.where("outcome = 'retried'").collect()} == {None}
+    assert q.publish.delivered(made).where("message is not null").count() == 0
