@@ -280,3 +280,13 @@ def test_filter_patterns(spark):
     for wrong in ("$.a = 1", "{ }", "{ $.a }", "{ $.a = }", "{ ($.a = 1 }", "{ $.a = 1 $.b = 2 }", "{ a = 1 }", "{ $.a < x }", "{ $.a = 1) }", "{ $.a && $.b = 1 }"):
         with pytest.raises(ValueError):
             filter_pattern(wrong)
+
+
+def test_the_tests_of_all_messages_pass_over_them_once(spark):
+    """No search for the 64th bracket byte by byte; limits hold next to other runs of digits."""
+    assert "substring_index" not in str(parse_message(F.col("message")))
+    fine = ["[1e99,2E+099]", f"[{'1' * 308},{'9' * 16}]", f'["{"7" * 400}",1,"1e999"]', "[" * 63 + "]" * 63]
+    beyond = [f"[12,1{'0' * 309}]", "[5,6e0400,7]", "[1E+400]", "[" * 128 + "]" * 128, '{"a":' * 128 + "1" + "}" * 128]
+    rows = spark.createDataFrame([(t,) for t in fine + beyond], "message string")
+    found = [r[0] for r in rows.select(parse_message(F.col("message")).isNotNull()).collect()]
+    assert found == [True] * len(fine) + [False] * len(beyond)
