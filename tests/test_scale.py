@@ -1,5 +1,6 @@
 """What is shuffled, kept and read again on the way; rows are made here."""
 
+import re
 from datetime import datetime
 
 import pyarrow.parquet as pq
@@ -89,3 +90,17 @@ def test_columns_of_live_records_stand_in_their_last_attempt(spark, tables):
         assert row.trace_id == r.trace_id and row.message == (r.message if row.outcome == "dead" else None)
     assert {r.trace_id for r in made.where("outcome = 'retried'").collect()} == {None}
     assert q.publish.delivered(made).where("message is not null").count() == 0
+
+
+def test_texts_travel_to_their_payload_once(spark, tables):
+    texts = q.export.otlp_json(q.export.otlp_rows(q.spans(spark, tables)))
+    plan = plan_of(q.export.compact_payloads(texts, 3, 700))
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*span_chunk", plan)) == 1
+    assert re.search(r"Exchange hashpartitioning\([^)]*(resource|scope)[#,]", plan) is None
+
+
+def test_stored_payloads_are_taken_apart_without_copies(spark, tables):
+    found = q.stored_payloads(spark, tables)
+    assert "array<variant>" not in found._jdf.queryExecution().analyzed().toString()
+    rows = q.export.otlp_rows(q.spans(spark, tables)).select("trace_id_hex", "span_id_hex").collect()
+    assert sorted((r.trace_id, r.span_id) for r in found.collect()) == sorted(tuple(r) for r in rows) != []
