@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanflow.operators.staging import work_dir, written
 from spanflow.plans.metrics import ROLES
 
 BUCKETS = 64
@@ -19,8 +20,10 @@ def write_lane(events: DataFrame, name: str, path: str, buckets: int = BUCKETS,
     The table is bucketed by trace and ``slice`` and sorted by trace. A trace of more than
     ``hot`` rows is dealt to slices by event; all others are whole, in slice -1. There are
     at most as many hot traces as the rows fill ``hot`` times over, so Spark can broadcast
-    their list, and where it does not, only they are split in the join.
+    their list, and where it does not, only they are split in the join. The events are
+    written once before they are counted and dealt, not made twice.
     """
+    events = written(events, work_dir(events.sparkSession))
     counts = events.groupBy("trace_id").agg(F.count(F.lit(1)).alias("_n"))
     large = counts.where(F.col("_n") > hot).select("trace_id", F.ceil(F.col("_n") / hot).alias("_slices"))
     number = F.pmod(F.xxhash64("source_event_id"), F.col("_slices")).cast("int")

@@ -104,3 +104,11 @@ def test_stored_payloads_are_taken_apart_without_copies(spark, tables):
     assert "array<variant>" not in found._jdf.queryExecution().analyzed().toString()
     rows = q.export.otlp_rows(q.spans(spark, tables)).select("trace_id_hex", "span_id_hex").collect()
     assert sorted((r.trace_id, r.span_id) for r in found.collect()) == sorted(tuple(r) for r in rows) != []
+
+
+def test_lane_is_dealt_and_counted_off_one_table(spark, tables, monkeypatch):
+    """The events of a lane are not made once for the counts and once more for the buckets."""
+    made = []
+    monkeypatch.setattr(DataFrame, "join", lambda left, *rest, join=DataFrame.join, **more: made.append(plan_of(left)) or join(left, *rest, **more))
+    assert q.lane_traces(spark, tables).count()
+    assert made and not any("lineitem.parquet" in plan for plan in made)
