@@ -290,3 +290,8 @@ def test_the_tests_of_all_messages_pass_over_them_once(spark):
     rows = spark.createDataFrame([(t,) for t in fine + beyond], "message string")
     found = [r[0] for r in rows.select(parse_message(F.col("message")).isNotNull()).collect()]
     assert found == [True] * len(fine) + [False] * len(beyond)
+
+
+def test_documents_are_built_once():
+    """Taking a document out of a larger one would build it a second time."""
+    assert "variant_get" not in str(parse_message(F.col("message")))
