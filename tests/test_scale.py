@@ -106,6 +106,18 @@ def test_stored_payloads_are_taken_apart_without_copies(spark, tables):
     assert sorted((r.trace_id, r.span_id) for r in found.collect()) == sorted(tuple(r) for r in rows) != []
 
 
+@pytest.mark.parametrize("name", ["emitted_spans_ordered", "emission_index", "otlp_convert_errors"])
+def test_keys_of_spans_are_shuffled_without_records(spark, tables, name, monkeypatch):
+    """Whether a span converts is found before the shuffle, which carries no record; all roles read one shuffle."""
+    made = []
+    monkeypatch.setattr(q.reconcile, "dedupe_events", lambda events, to=q.reconcile.dedupe_events: made.append(events) or to(events))
+    assert q.QUERIES[name](spark, tables).count()
+    assert made and not any("record" in events.columns for events in made)
+    keys = q.span_keys(spark, tables)
+    keys.collect()
+    assert "ReusedExchange" in plan_of(keys) and plan_of(keys).split("Initial Plan")[0].count("FileScan parquet") == 1
+
+
 def test_lane_is_dealt_and_counted_off_one_table(spark, tables, monkeypatch):
     """The events of a lane are not made once for the counts and once more for the buckets."""
     made = []
