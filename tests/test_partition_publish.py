@@ -1,9 +1,11 @@
 import json
+import sys
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from spanflow.plans import metrics, partition, publish
 from spanflow.sources import log_batches, stream_records
 from tests.helpers import CLIENT, TARGET, TRACE, changed
@@ -264,3 +266,43 @@ def test_observed_metrics(spark):
     parsed = partition.parse_log_events(log_batches.read_log_batches(envelope(spark, [CLIENT, "x"])))
     assert metrics.observe_partition(parsed, seen).count() == 2
     assert seen.get == {"input_records": 2, "published_records": 1, "malformed_records": 1}
+
+
+def test_chunks_cost_few_python_calls_per_record():
+    """The ledger of a batch is put together once, not chunk by chunk and attempt by attempt."""
+
+    class Requests:
+        columns = [*publish.ROW, "source_event_id"]
+
+        def select(self, *names):
+            return self
+
+        def mapInPandas(self, function, schema):
+            return function
+
+    n, calls = 4000, 0
+    rows = pd.DataFrame({
+        "batch_id": 7, "chunk_index": [i // 500 for i in range(n)], "position": [i % 500 for i in range(n)],
+        "source_event_id": [f"e-{i // 4}-{i % 4 + 1}-0" for i in range(n)],
+    })
+    publish_all = publish.publish_with_retry(Requests(), queries.put, columns=[], together=True)
+
+    def count(*_):
+        nonlocal calls
+        calls += 1
+
+    # A chunk goes on in the next batch.
+    parts = [rows[:1250], rows[1250:].reset_index(drop=True)]
+    list(publish_all(iter(parts)))
+    sys.setprofile(count)
+    try:
+        found = pd.concat(publish_all(iter(parts)), ignore_index=True)
+    finally:
+        sys.setprofile(None)
+    assert calls < 80 * n  # 41; 180 when frames were made for every attempt
+    cases = [(i // 4 + i % 4 + 1) % 20 for i in range(n)]
+    expected = {"published": n - sum(c in (1, 2, 3) for c in cases), "dead": sum(c in (1, 2, 3) for c in cases),
+                "retried": sum({0: 1, 1: 2}.get(c, 0) for c in cases)}
+    assert found["outcome"].value_counts().to_dict() == expected
+    last = found[found["outcome"] != "retried"].sort_values(["chunk_index", "position"])
+    assert last["source_event_id"].tolist() == rows["source_event_id"].tolist()
