@@ -1,14 +1,20 @@
 """What is shuffled, kept and read again on the way; rows are made here."""
 
+import os
 import re
 from datetime import datetime
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 from checks import queries as q
+from spanflow.functions import json
+from spanflow.operators.staging import removed, written
+from spanflow.plans import publish
 from spanflow.sources import derived
+from spanflow.streaming import lane, relay
 
 LINEITEM = (
     "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double,"
@@ -124,3 +130,80 @@ def test_lane_is_dealt_and_counted_off_one_table(spark, tables, monkeypatch):
     monkeypatch.setattr(DataFrame, "join", lambda left, *rest, join=DataFrame.join, **more: made.append(plan_of(left)) or join(left, *rest, **more))
     assert q.lane_traces(spark, tables).count()
     assert made and not any("lineitem.parquet" in plan for plan in made)
+
+
+def test_a_text_is_parsed_once(spark, tables):
+    """What follows a document shows in the same parse, and texts without odd numbers skip the strict look."""
+    plan = plan_of(q.record_roles(spark, tables))
+    assert "get_json_object" not in plan and plan.count("parseJson") == 1 and "variant_explode" in plan
+
+
+def test_documents_equal_those_of_parse_message(spark):
+    texts = [
+        '{"a":1}', '{"a":1} x', '{"a":1},{"b":2}', '{"a":1},2]', '{"a":1}]', '{"a":1}]x', "", " ", "null", None, "1", "1,2",
+        '"a","b"]', "[1,2]", "[]", "]", "],[1", ' {"a":1}\n', '{"a":[{"b":{"c":{"d":1.0}}}]}', "-0", "[-0]", "1e400", "tru",
+        '{"a":"\\ud800"}', '{"a":"\\ud83d\\ude00"}', "[" * 127 + "]" * 127, "[" * 128 + "]" * 128, '{"a":1,"a":2}', "9" * 310,
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "pos int, key string")
+    once = json.with_document(rows, F.col("key"), "value").select("pos", "key", F.to_json("value").alias("now"))
+    both = json.once(once, json.parse_message(F.col("key")), "was").withColumn("was", F.to_json("was")).orderBy("pos").collect()
+    assert [r.key for r in both] == texts and [r.now for r in both] == [r.was for r in both]
+    assert [r.now for r in both][:2] == ['{"a":1}', None] and both[24].now and both[25].now and not both[26].now
+
+
+def test_kept_fields_give_the_same_links(spark, tables):
+    """Records are cut down to their links before they are shuffled, stored or wait in the window state."""
+    links = F.to_json(F.coalesce("merged_links", json.strict_array(F.col("record"), "$.links")))
+    names = ["window_start", "trace_id", "is_target", "source_event_id", "arrival_seq"]
+    whole, cut = (q.spans(spark, tables, keep=keep).select(*names, links.alias("links"), F.to_json("record").alias("r")) for keep in (None, ["links"]))
+    assert sorted(map(repr, whole.drop("r").collect())) == sorted(map(repr, cut.drop("r").collect()))
+    assert all(r.r.startswith('{"links":') for r in cut.collect()) and not all(r.r.startswith('{"links":') for r in whole.collect())
+
+
+@pytest.mark.parametrize(("name", "kept"), [("stream_windows", []), ("two_stage_spans", []), ("stream_reconcile", ["links"])])
+def test_the_window_state_holds_what_the_sink_needs(spark, tables, monkeypatch, name, kept):
+    fields = []
+    with_roles = relay.with_roles
+    monkeypatch.setattr(relay, "with_roles", lambda records, keep=None: fields.append(keep) or with_roles(records, keep))
+    assert q.QUERIES[name](spark, tables).count() and fields == [kept]
+
+
+def test_stages_and_letters_are_small(spark, tables, tmp_path):
+    frame = written(spark.range(10), f"{tmp_path}/stage")
+    assert frame.count() == 10 and all("zstd" in f for f in frame.inputFiles())
+    attempts = q.ledger(spark, tables, letters=True)
+    letters = publish.dead_letters(attempts, None, "span-stream")
+    publish.write_dead_letters(letters, f"{tmp_path}/letters")
+    back = publish.read_dead_letters(spark, f"{tmp_path}/letters")
+    assert back.count() == letters.count() and all(f.endswith(".gz") for f in back.inputFiles())
+
+
+def test_the_ledger_goes_when_the_replay_has_read_it(spark, tables, monkeypatch):
+    gone = []
+    monkeypatch.setattr(q, "removed", lambda spark, path: gone.append(path) or removed(spark, path))
+    assert q.replayed_once(spark, tables).count() and len(gone) == 1 and not os.path.exists(gone[0])
+
+
+@pytest.mark.parametrize("last", [-1, 0, 8, 9, 10, 57, 99, 190, 999, 1009])
+def test_folders_after_a_batch(spark, last, tmp_path):
+    numbers = [*range(120), 189, 190, 191, 199, 200, 998, 999, 1000, 1008, 1009, 1010, 10090]
+    for number in numbers:
+        os.mkdir(f"{tmp_path}/batch_id={number}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{tmp_path}/{lane.folders_after(last)}")
+    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
+    assert sorted(int(f.getPath().getName().split("=")[1]) for f in found) == [n for n in numbers if n > last]
+
+
+def test_earlier_batches_use_up_no_trigger(spark, tmp_path):
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("key"), F.col("id").cast("string").alias("value"))
+    for batch in range(3):
+        rows.coalesce(1).write.option("maxRecordsPerFile", 1000).parquet(f"{tmp_path}/records/batch_id={batch}")
+        spark.createDataFrame([(batch,)], "batch_id bigint").write.mode("append").parquet(f"{tmp_path}/summary")
+        lane.start_after(spark, str(tmp_path), f"{tmp_path}/mark{min(batch, 1)}")
+    stream = lane.lane_stream(spark, str(tmp_path), f"{tmp_path}/mark1", rate=4000, file_records=1000)
+    sizes = []
+    query = stream.writeStream.foreachBatch(lambda b, _: sizes.append((b.count(), b.rdd.getNumPartitions()))).option(
+        "checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start()
+    query.awaitTermination()
+    # Eight files of earlier batches took two triggers; the four of the last one are dealt to all cores.
+    assert sizes == [(4000, 4)]
